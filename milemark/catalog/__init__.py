@@ -1,0 +1,11 @@
+"""Every operator as a named query over the given tables, most with an equivalent SQL check."""
+
+from importlib import import_module
+
+MODULES = ["cleaning"]
+
+
+def load() -> None:
+    """Register the queries of all catalog modules."""
+    for module in MODULES:
+        import_module(f"{__name__}.{module}")

@@ -20,9 +20,20 @@ ENUM_DOMAINS: dict[str, list[str]] = {
 CLEANED_ENUMS = ["driver_age_band", "vehicle_type", "ownership_type", "weather", "road_type"]
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+}
+
+
 def _struct(spec: str, required: tuple[str, ...] = ()) -> T.StructType:
-    fields = T.StructType.fromDDL(spec).fields
-    return T.StructType([T.StructField(f.name, f.dataType, f.name not in required) for f in fields])
+    """``name type, …`` as a schema; unlike a DDL string it needs no running session."""
+    pairs = [column.split() for column in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind], name not in required) for name, kind in pairs])
 
 
 REQUIRED_EVENT_COLUMNS = (
