@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["cleaning"]
+MODULES = ["cleaning", "scalars", "aggregates", "metrics"]
 
 
 def load() -> None:

@@ -59,8 +59,7 @@ def silver_trips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:
-    events = silver(spark, sf)
-    return features.driver_features(events, trips.trip_summary(events))
+    return features.driver_features_in_one_pass(silver(spark, sf))
 
 
 def training(spark: SparkSession, sf: str) -> DataFrame:

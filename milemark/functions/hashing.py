@@ -5,6 +5,7 @@ Draws depend only on the row's key, a seed and a tag, so any partitioning gives
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,6 @@ def gamma(key: Column, seed: int, shape: float, scale: float, tag: str = "severi
 
 def _gamma_sampler(shape: float):
     """Marsaglia and Tsang's rejection method (2000) over Arrow batches, seeded per row."""
-    import pandas as pd
 
     @F.pandas_udf("double")
     def sample(seeds: pd.Series) -> pd.Series:

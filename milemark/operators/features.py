@@ -66,6 +66,56 @@ def add_total_km(features: DataFrame, km: DataFrame) -> DataFrame:
     return features.join(km, "driver_id", "left")
 
 
+_RATES = {
+    "harsh_brake_rate": "is_harsh_brake",
+    "harsh_accel_rate": "is_harsh_accel",
+    "overspeed_rate": "is_overspeed",
+    "night_trip_ratio": "is_night",
+    "weekend_trip_ratio": "is_weekend",
+}
+
+
+def driver_features_in_one_pass(events: DataFrame, limit_unit: str = "raw") -> DataFrame:
+    """The same table straight from the events: sums per trip, rolled up per driver.
+
+    The events are read and shuffled once, and the distance needs no join. Speeds keep count, mean
+    and squared deviations per trip, which add up to the driver's deviation.
+    """
+    flagged = with_flags(events.filter(F.col("driver_id").isNotNull()), limit_unit)
+    per_trip = flagged.groupBy("driver_id", "trip_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("event_id").alias("events"),
+        F.count("speed_mps").alias("n"),
+        F.avg("speed_mps").alias("mean"),
+        F.var_pop("speed_mps").alias("variance"),
+        (F.max("odometer_km") - F.min("odometer_km")).alias("km"),
+        *[F.count_if(F.col(flag)).alias(flag) for flag in _RATES.values()],
+    )
+    n, mean = F.col("n"), F.col("mean")
+    totals = per_trip.groupBy("driver_id").agg(
+        F.count("trip_id").alias("trip_count"),
+        F.sum("events").alias("total_events"),
+        F.sum("rows").alias("rows"),
+        F.sum(n).alias("n"),
+        F.try_divide(F.sum(n * mean), F.sum(n)).alias("avg_speed_mps"),
+        F.sum(n * F.col("variance")).alias("within"),
+        F.sum(n * mean * mean).alias("squares"),
+        F.coalesce(F.sum(F.when(F.col("trip_id").isNotNull(), F.col("km"))), F.lit(0.0)).alias("total_km"),
+        *[F.sum(flag).alias(flag) for flag in _RATES.values()],
+    )
+    between = F.col("squares") - n * F.col("avg_speed_mps") * F.col("avg_speed_mps")
+    spread = F.col("within") + F.greatest(between, F.lit(0.0))
+    return conform(
+        totals.withColumns(
+            {
+                "speed_std": F.when(n > 1, F.sqrt(spread / (n - 1))),
+                **{rate: F.col(flag) / F.col("rows") for rate, flag in _RATES.items()},
+            }
+        ),
+        DRIVER_FEATURES,
+    )
+
+
 def driver_features(
     events: DataFrame, trips: DataFrame | None = None, limit_unit: str = "raw"
 ) -> DataFrame:
