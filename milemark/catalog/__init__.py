@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["cleaning", "scalars", "aggregates", "metrics"]
+MODULES = ["cleaning", "scalars", "aggregates", "metrics", "ingest"]
 
 
 def load() -> None:

@@ -8,7 +8,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from milemark.functions.hashing import hmac_pads, hmac_sha256
 from milemark.schemas import null_if_nan
 
 TELEMETRY = """
@@ -95,6 +97,35 @@ SELECT concat('model_', event_type) AS name, concat('v', cast(user_id as {S})) A
 FROM {events}
 """
 
+# Requests to the ingest path: three drivers (one without device), repeated ids, bursts above the rate
+# limit, every failure a validation can report, and some broken, mistyped or forged requests.
+REQUEST_EVENTS = """
+SELECT event_id AS arrival_no,
+  1700000000000 + event_id*10 + cast(floor(event_id / 100) as bigint)*3000 AS arrival_ms,
+  concat('ev-', cast(CASE WHEN event_id % 9 = 8 THEN event_id - 4 ELSE event_id END as {S})) AS event_id,
+  concat('driver_', lpad(cast(user_id % 3 as {S}), 5, '0')) AS driver_id,
+  concat('trip_', cast(user_id as {S})) AS trip_id,
+  {MS(ts)} AS ts, {MS(ts)} + event_id % 5000 AS ingestion_ts, cast(event_id % 1000 as int) AS event_seq_no,
+  CASE WHEN event_id % 43 = 0 THEN NULL ELSE cast(event_id % 184 - 91 as double) END AS lat,
+  cast(event_id % 361 - 180 as double) AS lon,
+  cast(event_id % 84 - 2 as double) AS speed_mps,
+  CASE WHEN event_id % 10 = 0 THEN NULL ELSE cast(event_id % 23 - 11 as double) END AS accel_mps2,
+  cast(event_id % 365 as double) AS heading,
+  1000 + cast(event_id % 500 as double) AS odometer_km,
+  CASE WHEN event_id % 31 = 0 THEN 'radio' ELSE 'phone' END AS source,
+  CASE WHEN event_id % 21 = 0 THEN 'YOUNG' ELSE 'OVER60' END AS driver_age_band,
+  CASE WHEN event_id % 22 = 0 THEN 'suv' WHEN event_id % 3 = 0 THEN NULL ELSE 'SUV' END AS vehicle_type,
+  CASE WHEN event_id % 24 = 0 THEN 'RENTED' ELSE 'OWNED' END AS ownership_type,
+  CASE WHEN event_id % 25 = 0 THEN 'hail' ELSE 'rain' END AS weather,
+  CASE WHEN event_id % 26 = 0 THEN 'alley' ELSE 'urban' END AS road_type,
+  cast(event_id % 27 as double) / 5 AS safety_rating,
+  cast(1979 + event_id % 48 as int) AS vehicle_model_year,
+  cast(event_id % 28 - 1 as double) AS crime_index,
+  cast(event_id % 29 - 1 as double) AS accident_index,
+  event_id % 37 = 5 AS is_broken, event_id % 41 = 7 AS is_mistyped, event_id % 47 = 3 AS is_forged
+FROM {events}
+"""
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels"]
 
 _MS = re.compile(r"\{MS\((\w+)\)\}")
@@ -144,3 +175,20 @@ def device_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_spark(spark, sf_dir, REGISTRY_IN)
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(arrival_no, arrival_ms, body, signature): the events as signed JSON bodies."""
+    events = for_spark(spark, sf_dir, REQUEST_EVENTS)
+    marks = ["is_broken", "is_mistyped", "is_forged"]
+    names = [c for c in events.columns if c not in ("arrival_no", "arrival_ms", *marks)]
+    body = F.to_json(F.struct(*names))
+    body = F.when(
+        F.col("is_mistyped"), F.replace(body, F.lit('"speed_mps":'), F.lit('"speed_mps":"fast","unused":'))
+    ).otherwise(body)
+    body = F.when(F.col("is_broken"), F.concat(F.lit("oops"), body)).otherwise(body)
+    signed = events.withColumn("body", body).join(hmac_pads(device_keys(spark, sf_dir)), "driver_id", "left")
+    signature = F.when(F.col("is_forged"), F.lit("forged")).otherwise(
+        hmac_sha256(F.col("inner_pad"), F.col("outer_pad"), F.col("body"))
+    )
+    return signed.select("arrival_no", "arrival_ms", "body", signature.alias("signature"))

@@ -91,6 +91,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "risk_in": ([], inputs.for_duckdb(inputs.RISK_IN)),
     "device_keys": ([], inputs.for_duckdb(inputs.DEVICE_KEYS)),
     "registry_in": ([], inputs.for_duckdb(inputs.REGISTRY_IN)),
+    "request_events": ([], inputs.for_duckdb(inputs.REQUEST_EVENTS)),
     "bronze": (
         ["telemetry"],
         f"""SELECT * EXCLUDE (copy_no) FROM (
