@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["cleaning", "scalars", "aggregates", "metrics", "ingest"]
+MODULES = ["cleaning", "scalars", "aggregates", "metrics", "ingest", "layers", "learning"]
 
 
 def load() -> None:
