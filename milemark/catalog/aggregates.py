@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from milemark.catalog import inputs
 from milemark.catalog.registry import (
-    FEATURE_NAMES, gold, query, r, rounded, silver, silver_trips, sql_features, training, with_ctes,
+    FEATURE_NAMES, gold, gold_table, query, r, rounded, silver, silver_trips, sql_features, training,
+    training_table, with_ctes,
 )
 from milemark.operators import distribution, features, labels, monitoring, trips
 from milemark.schemas import SILVER_TRIPS, conform
+from milemark.session import store
 
 _TRIP_NUMBERS = [
     "ts_min", "ts_max", "speed_mps_mean", "speed_mps_max", "speed_mps_min", "accel_mps2_mean", "gyro_std",
@@ -176,7 +178,7 @@ _DESCRIBE = _long_sql(
 
 @query("ag12_describe", with_ctes(_DESCRIBE, "gold"))
 def ag12(spark, sf):
-    return rounded(distribution.describe(gold(spark, sf), FEATURE_NAMES))
+    return rounded(distribution.describe(gold_table(spark, sf), FEATURE_NAMES))
 
 
 @query(
@@ -232,7 +234,7 @@ def sql_box(source: str, columns: list[str]) -> str:
 
 @query("ag15_box_statistics", with_ctes(sql_box("gold", FEATURE_NAMES), "gold"))
 def ag15(spark, sf):
-    return rounded(distribution.box_statistics(gold(spark, sf), FEATURE_NAMES))
+    return rounded(distribution.box_statistics(gold_table(spark, sf), FEATURE_NAMES))
 
 
 _CORR = _long_sql(
@@ -244,7 +246,7 @@ _CORR = _long_sql(
 
 @query("ag16_correlations", with_ctes(_CORR, "gold"))
 def ag16(spark, sf):
-    return rounded(distribution.correlations(gold(spark, sf), FEATURE_NAMES))
+    return rounded(distribution.correlations(gold_table(spark, sf), FEATURE_NAMES))
 
 
 _PROFILED = ["speed_mps", "accel_mps2", "gyro", "heading", "odometer_km", "posted_speed_limit"]
@@ -269,7 +271,8 @@ def sql_profile(source: str, columns: list[str]) -> str:
 
 @query("ag29_profile", with_ctes(sql_profile("telemetry", _PROFILED), "telemetry"))
 def ag29(spark, sf):
-    return rounded(distribution.profile(inputs.telemetry(spark, sf), _PROFILED))
+    events = store(inputs.telemetry(spark, sf).select(*_PROFILED), "telemetry")
+    return rounded(distribution.profile(events, _PROFILED))
 
 
 _TOP = ["driver_id", "source", "weather", "vehicle_type"]
@@ -328,7 +331,7 @@ _REPORTED = ["trip_count", "avg_speed_mps", "harsh_brake_rate", "harsh_accel_rat
 def ag30(spark, sf):
     from milemark.plans.quality import training_report
 
-    return training_report(training(spark, sf))
+    return training_report(training_table(spark, sf))
 
 
 @query(

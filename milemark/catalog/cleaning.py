@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from milemark.catalog import inputs
 from milemark.catalog.registry import (
-    _domain, bronze, gold, query, r, rounded, silver, sql_features, training, with_ctes,
+    _domain, bronze, gold, query, r, rounded, silver, silver_table, sql_features, training, with_ctes,
 )
 from milemark.operators import cleaning, labels, ordered, trips, validation
 from milemark.schemas import CLEANED_ENUMS, DRIVER_FEATURES, EVENTS, SILVER_EVENTS, conform
@@ -379,7 +379,7 @@ def st2(spark, sf):
 )
 def or1(spark, sf):
     """Order within each trip; the place makes the order visible in an unordered comparison."""
-    rows = ordered._sliced(silver(spark, sf), "ts", ordered.DEFAULT_SLICE_MS)
+    rows = ordered._sliced(silver_table(spark, sf), "ts", ordered.DEFAULT_SLICE_MS)
     inside = ordered.Window.partitionBy(*trips.TRIP_KEYS, "_slice").orderBy("ts", "event_seq_no", "event_id")
     across = ordered.Window.partitionBy(*trips.TRIP_KEYS).orderBy("_slice")
     rows = rows.withColumn("_place", F.row_number().over(inside))
@@ -444,7 +444,7 @@ def wn4(spark, sf):
     ),
 )
 def wn4_ids(spark, sf):
-    return trips.with_session_id(silver(spark, sf)).select("event_id", "session_id")
+    return trips.with_session_id(silver_table(spark, sf)).select("event_id", "session_id")
 
 
 _REACHED = """SELECT event_id, driver_id, trip_id, odometer_km, coalesce(odometer_km < max(odometer_km) OVER (
@@ -454,7 +454,7 @@ _REACHED = """SELECT event_id, driver_id, trip_id, odometer_km, coalesce(odomete
 
 @query("wn5_odometer_flags", with_ctes(_REACHED, "silver"))
 def wn5(spark, sf):
-    return trips.flag_odometer(silver(spark, sf)).select(
+    return trips.flag_odometer(silver_table(spark, sf)).select(
         "event_id", "driver_id", "trip_id", "odometer_km", "odometer_backwards"
     )
 
@@ -464,4 +464,4 @@ def wn5(spark, sf):
     with_ctes(f"SELECT event_id, odometer_km FROM ({_REACHED}) WHERE NOT odometer_backwards", "silver"),
 )
 def wn5_dropped(spark, sf):
-    return trips.monotonic_odometer(silver(spark, sf)).select("event_id", "odometer_km")
+    return trips.monotonic_odometer(silver_table(spark, sf)).select("event_id", "odometer_km")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from milemark.catalog import inputs
 from milemark.catalog.aggregates import rounded_trips, sql_trip_columns
 from milemark.catalog.cleaning import REASON_SQL
-from milemark.catalog.registry import bronze, gold, query, r, rounded, silver, silver_trips, sql_features, with_ctes
+from milemark.catalog.registry import bronze, gold, gold_table, query, r, rounded, silver, silver_trips, sql_features, with_ctes
 from milemark.functions.driving import event_date
 from milemark.operators import cleaning, features, labels, trips, validation
 from milemark.plans import learning, medallion, monitoring, quality
@@ -262,7 +262,7 @@ def jb5(spark, sf):
     ),
 )
 def jb9(spark, sf):
-    table = gold(spark, sf)
+    table = gold_table(spark, sf)
     return rounded(
         monitoring.overview({"silver": silver(spark, sf), "gold": table}, labels.training_set(table))
     )

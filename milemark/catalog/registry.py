@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from milemark.catalog import inputs
 from milemark.operators import cleaning, features, labels, trips
 from milemark.schemas import CLEANED_ENUMS, ENUM_DOMAINS
+from milemark.session import store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +55,11 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.drop_bad_enums(cleaning.sanity_filter(bronze(spark, sf)))
 
 
+def silver_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver as later steps find it: written. Operators that pass over it more than once start here."""
+    return store(silver(spark, sf), "silver")
+
+
 def silver_trips(spark: SparkSession, sf: str) -> DataFrame:
     return trips.trip_summary(silver(spark, sf))
 
@@ -66,6 +72,14 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
     return labels.training_set(gold(spark, sf))
 
 
+def gold_table(spark: SparkSession, sf: str) -> DataFrame:
+    return store(gold(spark, sf), "gold")
+
+
+def training_table(spark: SparkSession, sf: str) -> DataFrame:
+    return store(training(spark, sf), "training")
+
+
 # --- the same layers as common table expressions ---
 
 

@@ -78,14 +78,11 @@ def hmac_pads(secrets: DataFrame, key: str = "driver_id", secret: str = "secret"
     raw = F.encode(F.col(secret), "UTF-8")
     block = F.when(F.length(raw) > 64, F.unhex(F.sha2(raw, 256))).otherwise(raw)
     digits = F.rpad(F.hex(block), 128, "0")
-    bytes_ = F.transform(
-        F.sequence(F.lit(0), F.lit(63)),
-        lambda i: F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int"),
-    )
+    words = [F.conv(F.substring(digits, i, 8), 16, 10).cast("bigint") for i in range(1, 129, 8)]
 
-    def pad(value: int) -> Column:
-        hexed = F.transform(bytes_, lambda b: F.lpad(F.hex(b.bitwiseXOR(F.lit(value))), 2, "0"))
-        return F.unhex(F.array_join(hexed, ""))
+    def pad(byte: int) -> Column:
+        mask = F.lit(byte * 0x01010101)
+        return F.unhex(F.concat(*[F.lpad(F.hex(word.bitwiseXOR(mask)), 8, "0") for word in words]))
 
     return secrets.select(
         F.col(key), pad(0x36).alias("inner_pad"), pad(0x5C).alias("outer_pad"),

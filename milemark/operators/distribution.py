@@ -19,20 +19,6 @@ def _long(df: DataFrame, columns: list[str]) -> DataFrame:
     ).select("s.*")
 
 
-def _unpivot_aggregates(aggregated: DataFrame, columns: list[str], names: list[str]) -> DataFrame:
-    """One wide row ``<name>__<column>`` → one row per column."""
-    return aggregated.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), *[F.col(f"{n}__{c}").alias(n) for n in names])
-                    for c in columns
-                ]
-            )
-        ).alias("s")
-    ).select("s.*")
-
-
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """(value, n, share) of the non-null values."""
     known = df.filter(F.col(column).isNotNull())
@@ -45,22 +31,20 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, count, missing, mean, std, min, q25, q50, q75, max); quartiles are exact."""
-    names = ["count", "missing", "mean", "std", "min", "max"]
-
-    def stats(c: str) -> list[Column]:
-        x = F.col(c).cast("double")
-        return [
-            F.count(x).alias(f"count__{c}"),
-            F.count_if(x.isNull()).alias(f"missing__{c}"),
-            F.avg(x).alias(f"mean__{c}"),
-            F.stddev_samp(x).alias(f"std__{c}"),
-            F.min(x).alias(f"min__{c}"),
-            F.max(x).alias(f"max__{c}"),
-        ]
-
-    aggregated = df.agg(*[s for c in columns for s in stats(c)])
-    moments = _unpivot_aggregates(aggregated, columns, names)
+    """(column, count, missing, mean, std, min, q25, q50, q75, max); quartiles are exact.
+
+    Values are aggregated in long form: a few aggregates with one group per column, combined in each
+    task, instead of many aggregates whose generated code grows with the table's width.
+    """
+    x = F.col("value")
+    moments = _long(df, columns).groupBy("column").agg(
+        F.count(x).alias("count"),
+        F.count_if(x.isNull()).alias("missing"),
+        F.avg(x).alias("mean"),
+        F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"),
+        F.max(x).alias("max"),
+    )
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
         "column", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75")
     )
@@ -69,8 +53,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def feature_means(df: DataFrame, columns: list[str]) -> DataFrame:
     present = [c for c in columns if c in df.columns]
-    aggregated = df.agg(*[F.avg(c).alias(f"mean__{c}") for c in present])
-    return _unpivot_aggregates(aggregated, present, ["mean"])
+    return _long(df, present).groupBy("column").agg(F.avg("value").alias("mean"))
 
 
 def histogram(
@@ -118,22 +101,31 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     if len(columns) > MAX_CORRELATED:
         raise ValueError(f"at most {MAX_CORRELATED} columns")
-    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
-
-    def r(x: str, y: str) -> Column:
-        both = F.col(x).isNotNull() & F.col(y).isNotNull()
-        return F.corr(F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double")))
-
-    aggregated = df.agg(*[r(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
-    cells = []
-    for i, (x, y) in enumerate(pairs):
-        for a, b in sorted({(x, y), (y, x)}):
-            cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r")))
-    # a constant column has no correlation
-    return (
-        aggregated.select(F.explode(F.array(*cells)).alias("s"))
-        .select("s.x", "s.y", F.when(~F.isnan("s.r"), F.col("s.r")).alias("r"))
+    pairs = [
+        F.struct(
+            F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(x).cast("double").alias("a"), F.col(y).cast("double").alias("b")
+        )
+        for i, x in enumerate(columns)
+        for y in columns[i:]
+    ]
+    # one group per pair, combined in each task; corr leaves out rows where either side is null
+    upper = (
+        df.select(F.explode(F.array(*pairs)).alias("s"))
+        .select("s.*")
+        .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+        .groupBy("x", "y")
+        .agg(F.corr("a", "b").alias("r"))
     )
+    both = upper.select(
+        F.explode(
+            F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y"))).otherwise(
+                F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+            )
+        ).alias("s"),
+        "r",
+    )
+    # a constant column has no correlation
+    return both.select("s.x", "s.y", F.when(~F.isnan("r"), F.col("r")).alias("r"))
 
 
 def profile(df: DataFrame, numeric: list[str], approximate: bool = False) -> DataFrame:
@@ -142,20 +134,16 @@ def profile(df: DataFrame, numeric: list[str], approximate: bool = False) -> Dat
     Cardinality is exact by default, counted over (column, value) pairs that were made distinct first;
     ``approximate`` uses a sketch instead.
     """
-    names = ["rows", "known", "mean", "variance", "skewness"]
-
-    def stats(c: str) -> list[Column]:
-        x = F.col(c).cast("double")
-        return [
-            F.count(F.lit(1)).alias(f"rows__{c}"),
-            F.count(x).alias(f"known__{c}"),
-            F.avg(x).alias(f"mean__{c}"),
-            F.var_samp(x).alias(f"variance__{c}"),
-            F.skewness(x).alias(f"skewness__{c}"),
-        ]
-
-    moments = _unpivot_aggregates(df.agg(*[s for c in numeric for s in stats(c)]), numeric, names)
-    long = _long(df, numeric).filter(F.col("value").isNotNull())
+    x = F.col("value")
+    long = _long(df, numeric)
+    moments = long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(x).alias("known"),
+        F.avg(x).alias("mean"),
+        F.var_samp(x).alias("variance"),
+        F.skewness(x).alias("skewness"),
+    )
+    long = long.filter(x.isNotNull())
     if approximate:
         distinct = long.groupBy("column").agg(F.approx_count_distinct("value").alias("cardinality"))
     else:

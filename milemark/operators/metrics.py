@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from milemark.operators.ordered import prefix_sums, value_edges, with_bucket
+from milemark.operators.ordered import bucket_count, prefix_sums, value_edges, with_bucket
 
 BOOTSTRAP_REPLICATES = 200
 MIN_BOOTSTRAP_ROWS = 5
@@ -177,14 +177,15 @@ def _poisson_steps() -> list[float]:
     return [*steps, total]
 
 
-def resample_weight(key: Column, replicate: Column, seed: int) -> Column:
-    """How often a row is drawn in one replicate: Poisson(1) from a hash of (row, replicate)."""
-    digest = F.md5(F.concat_ws("|", key.cast("string"), replicate.cast("string"), F.lit(str(seed))))
+def with_resample_weight(rows: DataFrame, key: str, seed: int) -> DataFrame:
+    """Add ``w``, how often a row is drawn in its replicate: Poisson(1) from a hash of both."""
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("replicate").cast("string"), F.lit(str(seed))))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
     draws = F.lit(0)
     for step in _poisson_steps():
-        draws = draws + (u >= step).cast("int")
-    return draws
+        draws = draws + (F.col("_u") >= step).cast("int")
+    # rows drawn zero times stay: they add nothing, and a filter on ``w`` would compute the hash again
+    return rows.withColumn("_u", u).withColumn("w", draws).drop("_u")
 
 
 def bootstrap_metric(
@@ -198,12 +199,10 @@ def bootstrap_metric(
 
     Rows fan out to their replicates and are summed up again before any shuffle.
     """
-    fanned = (
-        predictions.select(
-            "y_true", "y_pred", key, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
-        )
-        .withColumn("w", resample_weight(F.col(key), F.col("replicate"), seed))
-        .filter("w > 0")
+    # spread first: a small table in one file would otherwise fan out in one task
+    spread = predictions.select("y_true", "y_pred", key).repartition(bucket_count(predictions))
+    fanned = with_resample_weight(
+        spread.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates)))), key, seed
     )
     if metric in ("AUC", "PR"):
         edges = value_edges(predictions, ["y_pred"])["y_pred"]
@@ -212,9 +211,9 @@ def bootstrap_metric(
         return table.groupBy("replicate").agg(value.alias("value"))
     error = F.col("y_true") - F.col("y_pred")
     mean = {
-        "Brier": lambda: F.sum(F.col("w") * error * error) / F.sum("w"),
-        "MAE": lambda: F.sum(F.col("w") * F.abs(error)) / F.sum("w"),
-        "RMSE": lambda: F.sqrt(F.sum(F.col("w") * error * error) / F.sum("w")),
+        "Brier": lambda: F.try_divide(F.sum(F.col("w") * error * error), F.sum("w")),
+        "MAE": lambda: F.try_divide(F.sum(F.col("w") * F.abs(error)), F.sum("w")),
+        "RMSE": lambda: F.sqrt(F.try_divide(F.sum(F.col("w") * error * error), F.sum("w"))),
     }[metric]
     return fanned.groupBy("replicate").agg(mean().alias("value"))
 
