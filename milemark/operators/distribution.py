@@ -108,13 +108,14 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
         for i, x in enumerate(columns)
         for y in columns[i:]
     ]
-    # one group per pair, combined in each task; corr leaves out rows where either side is null
+    # one group per pair, combined in each task; a constant column has no correlation
+    r = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))
     upper = (
         df.select(F.explode(F.array(*pairs)).alias("s"))
         .select("s.*")
         .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
         .groupBy("x", "y")
-        .agg(F.corr("a", "b").alias("r"))
+        .agg(r.alias("r"))
     )
     both = upper.select(
         F.explode(
@@ -124,8 +125,7 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
         ).alias("s"),
         "r",
     )
-    # a constant column has no correlation
-    return both.select("s.x", "s.y", F.when(~F.isnan("r"), F.col("r")).alias("r"))
+    return both.select("s.x", "s.y", "r")
 
 
 def profile(df: DataFrame, numeric: list[str], approximate: bool = False) -> DataFrame:
