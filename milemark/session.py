@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # coalesce less eagerly: much of the work (parsing, hashing, opening files) is heavy per byte
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 
