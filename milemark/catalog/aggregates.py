@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from milemark.catalog import inputs
 from milemark.catalog.registry import (
-    FEATURE_NAMES, gold, gold_table, query, r, rounded, silver, silver_trips, sql_features, training,
+    FEATURE_NAMES, gold, gold_table, query, r, rounded, silver, silver_table, silver_trips, sql_features,
+    training,
     training_table, with_ctes,
 )
 from milemark.operators import distribution, features, labels, monitoring, trips
@@ -50,7 +51,7 @@ def ag3(spark, sf):
 @query("ag3_driver_features_with_trips", with_ctes(f"SELECT {sql_features()} FROM gold", "gold"))
 def ag3_trips(spark, sf):
     """From a separate trip table, as when Silver was written earlier."""
-    events = silver(spark, sf)
+    events = silver_table(spark, sf)
     return rounded(features.driver_features(events, trips.trip_summary(events)))
 
 
@@ -344,7 +345,7 @@ def ag30(spark, sf):
     ),
 )
 def jn1(spark, sf):
-    events = silver(spark, sf)
+    events = silver_table(spark, sf)
     kept = events.filter(F.col("accel_mps2") < -3).groupBy(*trips.TRIP_KEYS).agg(
         F.count(F.lit(1)).alias("harsh_brakes")
     )
@@ -360,7 +361,7 @@ def jn1(spark, sf):
     ),
 )
 def jn2(spark, sf):
-    events = silver(spark, sf)
+    events = silver_table(spark, sf)
     km = features.total_km_from_trips(trips.trip_summary(events)).filter("total_km > 300")
     joined = features.add_total_km(features.driver_event_features(events), km)
     return rounded(joined.select("driver_id", "total_events", "total_km"))

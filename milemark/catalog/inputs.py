@@ -149,6 +149,8 @@ def for_spark(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
     if "lineitem" in used:
         used["lineitem"] = _spread(used["lineitem"], "l_orderkey", "l_linenumber")
+    if template is REQUEST_EVENTS:  # bodies are built, signed, parsed and verified per row
+        used["events"] = _spread(used["events"], "event_id")
     return spark.sql(text, **used)
 
 
