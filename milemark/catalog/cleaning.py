@@ -379,16 +379,8 @@ def st2(spark, sf):
 )
 def or1(spark, sf):
     """Order within each trip; the place makes the order visible in an unordered comparison."""
-    rows = ordered._sliced(silver_table(spark, sf), "ts", ordered.DEFAULT_SLICE_MS)
-    inside = ordered.Window.partitionBy(*trips.TRIP_KEYS, "_slice").orderBy("ts", "event_seq_no", "event_id")
-    across = ordered.Window.partitionBy(*trips.TRIP_KEYS).orderBy("_slice")
-    rows = rows.withColumn("_place", F.row_number().over(inside))
-    before = rows.groupBy(*trips.TRIP_KEYS, "_slice").agg(F.count(F.lit(1)).alias("_n")).select(
-        *trips.TRIP_KEYS, "_slice",
-        F.coalesce(F.sum("_n").over(across.rowsBetween(ordered.Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-    )
-    joined = ordered._join_summary(rows, before, [*trips.TRIP_KEYS, "_slice"])
-    return joined.select(*KEYS, (F.col("_place") + F.col("_before")).alias("place"))
+    order = ["ts", "event_seq_no", "event_id"]
+    return ordered.place_in_order(silver_table(spark, sf), trips.TRIP_KEYS, order).select(*KEYS, "place")
 
 
 @query(

@@ -78,6 +78,8 @@ def rate_limit(
     * a slice whose predecessor ends quietly starts from a known state, the predecessor's tail;
     * only slices joined by contested arrivals on their border form a chain that one task decides
       in order, streaming through with ``limit`` instants of memory.
+
+    Arrivals without a key are not limited.
     """
     if slice_ms <= window_ms:
         raise ValueError("a slice must be longer than the window")
@@ -113,7 +115,7 @@ def rate_limit(
     renamed = chains.withColumnsRenamed({key: "_r_key", "_slice": "_r_slice"})
     placed = rows.join(
         renamed,
-        rows[key].eqNullSafe(renamed["_r_key"]) & (rows["_slice"] == renamed["_r_slice"]),
+        (rows[key] == renamed["_r_key"]) & (rows["_slice"] == renamed["_r_slice"]),
         "left",
     ).drop("_r_key", "_r_slice")
 

@@ -21,12 +21,33 @@ def _sliced(df: DataFrame, ts: str, slice_ms: int) -> DataFrame:
 
 
 def _join_summary(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Null-safe join on the slice keys, dropping the summary's copies of them."""
+    """Bring the summary back to the rows, which are already partitioned by these keys.
+
+    Plain equality keeps that partitioning (a null-safe one would shuffle the rows again), so rows
+    without a key get no summary.
+    """
     renamed = summary.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     condition = F.lit(True)
     for k in keys:
-        condition = condition & rows[k].eqNullSafe(renamed[f"_r_{k}"])
-    return rows.join(renamed, condition).drop(*[f"_r_{k}" for k in keys])
+        condition = condition & (rows[k] == renamed[f"_r_{k}"])
+    return rows.join(renamed, condition, "left").drop(*[f"_r_{k}" for k in keys])
+
+
+def place_in_order(
+    events: DataFrame, keys: list[str], order: list[str], ts: str = "ts", slice_ms: int = DEFAULT_SLICE_MS
+) -> DataFrame:
+    """Add ``place`` (1, 2, … per key) in a stated order that starts with the time."""
+    rows = _sliced(events, ts, slice_ms)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    rows = rows.withColumn("_local", F.row_number().over(inside))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    summary = (
+        rows.groupBy(*keys, "_slice")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*keys, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    )
+    joined = _join_summary(rows, summary, [*keys, "_slice"])
+    return joined.withColumn("place", F.col("_before") + F.col("_local")).drop("_slice", "_local", "_before")
 
 
 def sessionize(
@@ -37,7 +58,10 @@ def sessionize(
     max_gap_ms: int = 300_000,
     slice_ms: int = DEFAULT_SLICE_MS,
 ) -> DataFrame:
-    """Add ``session_seq`` (1, 2, … per key): a gap above ``max_gap_ms`` starts a new session."""
+    """Add ``session_seq`` (1, 2, … per key): a gap above ``max_gap_ms`` starts a new session.
+
+    Rows without a key belong to no session.
+    """
     rows = _sliced(events, ts, slice_ms)
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     rows = rows.withColumn(
@@ -71,7 +95,8 @@ def running_max_before(
     order: list[str] = ["ts", "event_seq_no", "event_id"],
     slice_ms: int = DEFAULT_SLICE_MS,
 ) -> DataFrame:
-    """Add the maximum of ``value`` over all earlier rows of the key; null for the first."""
+    """Add the maximum of ``value`` over all earlier rows of the key; null for the first row of a key
+    and for rows without a key."""
     rows = _sliced(events, ts, slice_ms)
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     rows = rows.withColumn("_local", F.max(value).over(inside.rowsBetween(Window.unboundedPreceding, -1)))
@@ -82,8 +107,13 @@ def running_max_before(
         .select(*keys, "_slice", F.max("_top").over(across).alias("_earlier"))
     )
     joined = _join_summary(rows, summary, [*keys, "_slice"])
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
     # greatest skips nulls, so whichever side is known counts
-    return joined.withColumn(out, F.greatest("_local", "_earlier")).drop("_slice", "_local", "_earlier")
+    return joined.withColumn(out, F.when(has_key, F.greatest("_local", "_earlier"))).drop(
+        "_slice", "_local", "_earlier"
+    )
 
 
 def bucket_count(df: DataFrame) -> int:
