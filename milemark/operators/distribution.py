@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from milemark.operators.ordered import exact_quantiles
@@ -81,8 +81,9 @@ def box_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
         "column", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    # one row per column: small enough to travel to every task, as Spark sees at run time
-    placed = _long(df, columns).filter(F.col("value").isNotNull()).join(quartiles, "column")
+    # one row per named column, whatever the table's size: without the broadcast, all rows of a column
+    # would meet in one task
+    placed = _long(df, columns).filter(F.col("value").isNotNull()).join(F.broadcast(quartiles), "column")
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return placed.groupBy("column", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("lower_whisker"),

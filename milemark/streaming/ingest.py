@@ -92,7 +92,10 @@ def limit_rate(
     limit: int = MAX_EVENTS_PER_WINDOW,
     window_ms: int = WINDOW_MS,
 ) -> DataFrame:
-    """Add ``accepted`` to narrow rows (key, at, order…); micro-batches must not overlap in time."""
+    """Add ``accepted`` to narrow rows (key, at, order…); micro-batches must not overlap in time.
+
+    One driver's rows of one micro-batch are decided together, in order; the trigger's size bounds them.
+    """
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     out = T.StructType([*stream.schema.fields, T.StructField("accepted", T.BooleanType())])
     return stream.groupBy(key).transformWithStateInPandas(
