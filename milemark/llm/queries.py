@@ -5,12 +5,36 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from milemark.llm import byte_bpe
+from milemark.llm import byte_bpe, host_quality, simhash, toxicity
 from milemark.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def held_out(n: int, remainder: int):
+    """Whether crc32 of the id as text leaves ``remainder`` modulo ``n``; false without an id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n == remainder, F.lit(False))
+
+
+@query("op1_quality_rules")
+def op1(spark, sf):
+    return host_quality.judge(table(spark, sf, "documents"))
+
+
+def toxicity_model(docs, labels):
+    train = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    return toxicity.train(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"), train)
+
+
+@query("op2_toxicity")
+def op2(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query("op10_byte_level_bpe")
 def op10(spark, sf):
     tokens = byte_bpe.encode(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN)
@@ -20,3 +44,9 @@ def op10(spark, sf):
         F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_simhash_near_dedup")
+def op5(spark, sf):
+    found = simhash.near_duplicates(table(spark, sf, "documents"), shingle=3, max_bits=3)
+    return found.select("doc_id", F.format_string("%016x", "fingerprint").alias("fingerprint"), "component_id")
