@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from milemark.llm import byte_bpe, host_quality, simhash, toxicity
+from milemark.llm import byte_bpe, host_quality, language_id, simhash, toxicity
 from milemark.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -35,6 +35,14 @@ def op2(spark, sf):
     )
 
 
+@query("op6_language_id")
+def op6(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = language_id.train(docs, F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
+
+
 @query("op10_byte_level_bpe")
 def op10(spark, sf):
     tokens = byte_bpe.encode(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN)
