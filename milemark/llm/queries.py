@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from milemark.llm import byte_bpe, host_quality, language_id, simhash, toxicity
+from milemark.llm import byte_bpe, histogram_shards, host_quality, language_id, line_dedup, simhash, toxicity
 from milemark.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -54,6 +54,39 @@ def op10(spark, sf):
     )
 
 
+@query(
+    "op3_line_dedup",
+    """
+    WITH cut AS (
+      SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i
+      FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+    keyed AS (
+      SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM cut),
+    repeated AS (
+      SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    marked AS (
+      SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.keeper AS dropped FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """,
+)
+def op3(spark, sf):
+    kept = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op4_sharding")
+def op4(spark, sf):
+    placed = histogram_shards.shard(table(spark, sf, "documents").select("doc_id", "text"), n_shards=24)
+    return placed.select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"), shingle=3, max_bits=3)

@@ -169,9 +169,10 @@ def one_of_each(
     """``docs`` with one row of each component: the smallest id, of its repeats the smallest text hash, and one of
     equal rows. A row without an id stays only where its component holds no id at all."""
     _, members = _grouped(docs, shingle, max_bits, id_col, text_col)
-    best = members.select("root", "best.id", "best.text_hash").distinct()
-    best = best.select(F.col("id").alias("_best_id"), F.col("text_hash").alias("_best_hash")).distinct()
-    same = docs[id_col].eqNullSafe(best["_best_id"]) & (F.xxhash64(docs[text_col]) == best["_best_hash"])
-    kept = docs.join(best, same, "left_semi")
-    order = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(*[F.col(c) for c, t in docs.dtypes if t != "variant"])
-    return kept.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_copy")
+    best = members.select("best.id", "best.text_hash").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_hash"))
+    same = rows["own_id"].eqNullSafe(best["id"]) & (rows["own_hash"] == best["text_hash"])
+    kept = rows.join(best, same, "left_semi")
+    # equal ids with equal texts: the first copy by all its columns
+    order = Window.partitionBy("own_id", "own_hash").orderBy("row")
+    return kept.withColumn("copy", F.row_number().over(order)).where("copy = 1").select("row.*")
