@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from milemark.llm import byte_bpe, chat_windows, histogram_shards, host_quality, language_id, line_dedup, simhash, toxicity
+from milemark.llm import byte_bpe, chat_windows, decontamination, histogram_shards, host_quality, language_id, line_dedup, simhash, toxicity
 from milemark.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -43,6 +43,41 @@ def op6(spark, sf):
     return found.select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
 
 
+@query(
+    "op7_decontamination",
+    r"""
+    WITH docs AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    items AS (
+      SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i + 1 : i + least(len(w), 13)], ' ') AS phrase
+      FROM (SELECT *, unnest(range(greatest(len(w) - 13, 0) + 1)) AS i FROM items WHERE len(w) > 0)),
+    places AS (
+      SELECT doc_id, n, i, array_to_string(w[i + 1 : i + n], ' ') AS phrase
+      FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM docs, (SELECT DISTINCT n FROM windows)
+            WHERE len(w) >= n)),
+    found AS (SELECT DISTINCT doc_id, i, n, p.phrase FROM places p SEMI JOIN windows USING (n, phrase)),
+    hits AS (SELECT doc_id, count(DISTINCT spot) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS spot FROM found) GROUP BY doc_id),
+    owned AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id::varchar AS item FROM found JOIN windows USING (n, phrase)) GROUP BY doc_id)
+    SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, coalesce(n_items, 0)::bigint AS n_items,
+      sha256(coalesce(ids, '')) AS items_sha256,
+      coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN owned USING (doc_id)
+    """,
+)
+def op7(spark, sf):
+    found = decontamination.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontamination.contaminated().alias("contaminated"),
+    )
+
+
 #: A conversation whose texts hold the template's own control strings.
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
