@@ -7,4 +7,5 @@ def load():
     """Register the queries of this package, and the pipeline's; returns the registry."""
     registry = import_module(f"{__name__}.registry")
     import_module(f"{__name__}.queries")
+    import_module("corpus_pipeline")
     return registry

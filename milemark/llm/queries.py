@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from milemark.llm import byte_bpe, chat_windows, decontamination, histogram_shards, host_quality, language_id, line_dedup, simhash, toxicity
 from milemark.llm.registry import query, table
 
+#: Score from which a text counts as toxic.
+THRESHOLD = 0.3
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -31,7 +33,7 @@ def op2(spark, sf):
     docs = table(spark, sf, "documents")
     scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf, "labels")))
     return scored.select(
-        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
 
 
