@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from milemark.llm import byte_bpe, chat_windows, decontamination, histogram_shards, host_quality, language_id, line_dedup, simhash, toxicity
+from milemark.llm import byte_bpe, chat_windows, decontamination, histogram_shards, host_quality, language_id, license_scan, line_dedup, simhash, toxicity
 from milemark.llm.registry import query, table
 
 #: Score from which a text counts as toxic.
@@ -123,6 +123,11 @@ def op8(spark, sf):
     return chat_windows.digests(chat_windows.windows(rows.unionByName(own), budget=1024, history=128, system=64))
 
 
+@query("op9_license_scan")
+def op9(spark, sf):
+    return license_scan.scan(table(spark, sf, "documents"), license_scan.NOTICES)
+
+
 @query("op10_byte_level_bpe")
 def op10(spark, sf):
     tokens = byte_bpe.encode(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN)
