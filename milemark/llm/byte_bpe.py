@@ -5,6 +5,9 @@ is the rank file with each byte written as one printable character, its merges a
 two other tokens, ordered by rank, so that any pair whose join is a token may merge, as in the rank file's own
 library. Words repeat, so a task encodes each distinct match once and remembers a bounded number of them.
 
+Python's regex splits the text, as it is several times faster than the library's own splitter. The two know different
+versions of Unicode: a text with characters that Python's database does not know goes to the library's splitter.
+
 Defined cases: null text is the empty text and has no tokens; special tokens do not exist here, their strings are
 ordinary text; repeated rows are encoded each on its own; other columns are ignored.
 """
@@ -14,18 +17,21 @@ from __future__ import annotations
 import base64
 import codecs
 import os
+import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer
 from tokenizers.models import BPE
-from tokenizers.pre_tokenizers import ByteLevel
+from tokenizers.pre_tokenizers import ByteLevel, Split
 
 from milemark.llm.batches import text_slices
 
@@ -42,6 +48,14 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _unassigned() -> str:
+    """Character class of the code points without a category in Python's Unicode database."""
+    missing = [cp for cp in range(0x110000) if unicodedata.category(chr(cp)) == "Cn"]
+    ends = [a for a, b in zip(missing, [*missing[1:], -1]) if b != a + 1]
+    begins = [b for a, b in zip([-2, *missing], missing) if b != a + 1]
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(begins, ends)) + "]"
+
+
 class _Remembered(dict):
     """Match to the bytes of its ids (int32), encoded when it is first asked for."""
 
@@ -71,14 +85,24 @@ class Vocabulary:
         vocab = {spell(token): rank for token, rank in ranks.items()}
         self.model = Tokenizer(BPE(vocab=vocab, merges=merges, ignore_merges=True))
         self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.split = regex.compile(pattern).findall
+        self.matches = regex.compile(pattern).findall
+        self.careful = Split(Regex(pattern), "isolated")
+        self.unknown = re.compile(_unassigned()).search
+        self.uncommon = re.compile("[\u0378-\U0010ffff]").search  # below, all code points are assigned
         back = {character: byte for byte, character in written.items()}
         self.bytes_of = {rank: bytes(back[c] for c in token) for token, rank in vocab.items()}
-        self.length = np.zeros(max(self.bytes_of) + 1, np.int64)
-        for rank, token in self.bytes_of.items():
-            self.length[rank] = len(token)
+        in_order = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.length = np.array([len(token) for token in in_order], np.int64)
+        self.begin = np.cumsum(self.length) - self.length
+        self.table = np.frombuffer(b"".join(in_order), np.uint8)
         self.known = _Remembered(self.model)
 
+    def split(self, text: str) -> list[str]:
+        first = None if text.isascii() else self.uncommon(text)
+        if first and self.unknown(text, first.start()):
+            return [piece for piece, _ in self.careful.pre_tokenize_str(text)]
+        return self.matches(text)
+
     def encode(self, text: str) -> np.ndarray:
         if len(self.known) > MEMORY:
             self.known.clear()
@@ -99,6 +123,22 @@ class Vocabulary:
         except KeyError:
             return None
 
+    def decode_rows(self, ids: pa.ListArray) -> pa.BinaryArray:
+        """``decode`` of each row, by one look-up in the table of all tokens' bytes."""
+        flat = ids.flatten()
+        known = np.asarray(pc.fill_null(flat, -1))
+        inside = (known >= 0) & (known < len(self.length))
+        known = np.where(inside, known, 0)
+        length = np.where(inside, self.length[known], 0)
+        after = np.concatenate(([0], np.cumsum(length)))
+        data = self.table[np.repeat(self.begin[known] - after[:-1], length) + np.arange(after[-1])]
+        rows = np.concatenate(([0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(ids), 0)))))
+        wrong = np.concatenate(([0], np.cumsum(length == 0)))[rows]
+        valid = np.asarray(ids.is_valid()) & (np.diff(wrong) == 0)
+        borders = pa.py_buffer(after[rows].astype(np.int32))
+        whole = pa.Array.from_buffers(pa.binary(), len(ids), [None, borders, pa.py_buffer(data)])
+        return pc.if_else(pa.array(valid), whole, pa.scalar(None, pa.binary()))
+
     def decode_pieces(self, pieces: Iterable[Iterable[int]]) -> Iterator[str]:
         """Text of one piece of ids after the other; a character cut by a border comes with the later piece."""
         reader = codecs.getincrementaldecoder("utf-8")("replace")
@@ -165,15 +205,13 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str = "tok
     def run(batches):
         words = vocabulary(content.value, pattern)
         for batch in batches:
-            column = batch.column(ids_col)
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                out = [None if x is None else words.decode(x) for x in column.slice(begin, 256).to_pylist()]
+                out = words.decode_rows(part.column(ids_col))
                 if as_text:
-                    out = [None if x is None else x.decode("utf-8", "replace") for x in out]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(out, pa.string() if as_text else pa.binary())], [*kept, "decoded"]
-                )
+                    texts = [None if x is None else x.decode("utf-8", "replace") for x in out.to_pylist()]
+                    out = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, out], [*kept, "decoded"])
 
     schema = T.StructType([tokens.schema[c] for c in kept])
     return tokens.select(*kept).mapInArrow(run, schema.add("decoded", T.StringType() if as_text else T.BinaryType()))
