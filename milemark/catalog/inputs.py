@@ -138,19 +138,14 @@ def for_duckdb(template: str) -> str:
     return text.strip()
 
 
-def _spread(table: DataFrame, *keys: str) -> DataFrame:
-    """A table in fewer pieces than there are cores is dealt out before the heavy work."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
-
-
 def for_spark(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
     text = _MS.sub(r"unix_millis(cast(\1 as timestamp))", template).replace("{S}", "string")
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
+    # the given tables are single files: their rows are dealt out by key before the heavy work on each row
     if "lineitem" in used:
-        used["lineitem"] = _spread(used["lineitem"], "l_orderkey", "l_linenumber")
+        used["lineitem"] = used["lineitem"].repartition("l_orderkey", "l_linenumber")
     if template is REQUEST_EVENTS:  # bodies are built, signed, parsed and verified per row
-        used["events"] = _spread(used["events"], "event_id")
+        used["events"] = used["events"].repartition("event_id")
     return spark.sql(text, **used)
 
 

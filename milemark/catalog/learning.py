@@ -153,17 +153,21 @@ def ml14(spark, sf):
 @query(
     "jn4_scores_by_driver",
     with_ctes(
-        f"""SELECT driver_id, {r('least(greatest(p_raw, 0), 1)')} AS p_claim_30d,
-              {r('greatest(severity_raw, 0)')} AS severity_pred,
-              {r('least(greatest(p_raw, 0), 1) * greatest(severity_raw, 0)')} AS expected_loss,
-              {r('total_km')} AS total_km FROM risk_in LEFT JOIN km USING (driver_id)""",
+        f"""SELECT driver_id, {r('CASE WHEN p_raw IS NOT NULL THEN least(greatest(p_raw, 0), 1) END')} AS p_claim_30d,
+              {r('CASE WHEN severity_raw IS NOT NULL THEN greatest(severity_raw, 0) END')} AS severity_pred,
+              {r('CASE WHEN p_raw + severity_raw IS NOT NULL THEN least(greatest(p_raw, 0), 1) * greatest(severity_raw, 0) END')} AS expected_loss,
+              {r('total_km')} AS total_km
+            FROM (SELECT driver_id, CASE WHEN severity_raw > 0 THEN p_raw END AS p_raw,
+                CASE WHEN p_raw > 0.1 THEN severity_raw END AS severity_raw FROM risk_in
+              WHERE severity_raw > 0 OR p_raw > 0.1) LEFT JOIN km USING (driver_id)""",
         "risk_in", "km",
     ),
 )
 def jn4(spark, sf):
     raw = inputs.risk_in(spark, sf)
-    p = raw.select("driver_id", F.col("p_raw").alias("y_pred"))
-    severity = raw.select("driver_id", F.col("severity_raw").alias("y_pred"))
+    # some drivers are missing on either side
+    p = raw.filter("severity_raw > 0").select("driver_id", F.col("p_raw").alias("y_pred"))
+    severity = raw.filter("p_raw > 0.1").select("driver_id", F.col("severity_raw").alias("y_pred"))
     return rounded(scoring.join_scores(p, severity, gold(spark, sf)))
 
 

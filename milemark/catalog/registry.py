@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,7 +93,8 @@ def sql_uniform(key: str, seed: int, tag: str) -> str:
     return f"((cast(cast('0x' || substr({digest}, 1, 13) as bigint) as double) + 0.5) / 4503599627370496.0)"
 
 
-_FIRST_COPY = ", ".join(f"{c} ASC NULLS FIRST" for c in cleaning.FIRST_COPY_ORDER)
+_TELEMETRY_COLUMNS = re.findall(r"AS (\w+)[,\n]", inputs.TELEMETRY)
+_FIRST_COPY = ", ".join(f"{c} ASC NULLS FIRST" for c in cleaning.copy_order(_TELEMETRY_COLUMNS))
 _LEGAL = " AND ".join(f"({c} IS NULL OR {c} IN ({_domain(c)}))" for c in CLEANED_ENUMS)
 _TS = "make_timestamp(ts * 1000)"
 

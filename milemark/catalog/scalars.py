@@ -282,7 +282,7 @@ def fn20(spark, sf):
     )
 
 
-_DIGEST = "md5(concat_ws('|', coalesce('=' || driver_id, '~'), coalesce('=' || secret, '~')))"
+_DIGEST = "md5(concat_ws('|', coalesce(length(driver_id) || '=' || driver_id, '~'), coalesce(length(secret) || '=' || secret, '~')))"
 
 
 @query(

@@ -25,10 +25,10 @@ def bernoulli(p: Column, key: Column, seed: int, tag: str = "claim") -> Column:
 
 
 def gamma(key: Column, seed: int, shape: float, scale: float, tag: str = "severity") -> Column:
-    """Gamma(shape, scale). An integer shape is a sum of exponentials, with no Python involved."""
+    """Gamma(shape, scale). Any integer shape is a sum of that many exponentials, with no Python involved."""
     if shape <= 0:
         raise ValueError("shape must be positive")
-    if float(shape).is_integer() and shape <= 64:
+    if float(shape).is_integer():
         logs = [F.ln(uniform(key, seed, f"{tag}{i}")) for i in range(int(shape))]
         return sum(logs[1:], logs[0]) * F.lit(-float(scale))
     return _gamma_sampler(float(shape))(F.xxhash64(key.cast("string"), F.lit(seed), F.lit(tag))) * scale
@@ -106,8 +106,9 @@ def pseudonym(identifier: Column, salt: Column) -> Column:
 
 
 def row_digest(columns: list[str]) -> Column:
-    """MD5 of one row; nulls are told apart from empty strings."""
-    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in columns]
+    """MD5 of one row; every value comes with its length, and nulls are told apart from empty strings."""
+    text = [F.col(c).cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit("="), t), F.lit("~")) for t in text]
     return F.md5(F.concat_ws("|", *parts))
 
 

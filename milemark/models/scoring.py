@@ -60,10 +60,11 @@ def score(training: DataFrame, frequency: PipelineModel, severity: PipelineModel
 
 
 def join_scores(probabilities: DataFrame, severities: DataFrame, features: DataFrame) -> DataFrame:
-    """The same table from scores that were stored apart, matched by driver."""
+    """The same table from scores that were stored apart, matched by driver; a driver that one side lacks stays,
+    without a loss."""
     p = probabilities.select("driver_id", clip_probability(F.col("y_pred")).alias("p_claim_30d"))
     amount = severities.select("driver_id", clip_severity(F.col("y_pred")).alias("severity_pred"))
-    joined = p.join(amount, "driver_id").join(features.select("driver_id", "total_km"), "driver_id", "left")
+    joined = p.join(amount, "driver_id", "full_outer").join(features.select("driver_id", "total_km"), "driver_id", "left")
     loss = expected_loss(F.col("p_claim_30d"), F.col("severity_pred"))
     return joined.select("driver_id", "p_claim_30d", "severity_pred", loss.alias("expected_loss"), "total_km")
 

@@ -15,13 +15,19 @@ SPEED_RANGE = (0.0, 80.0)
 MAX_ABS_ACCEL = 12.0
 MAX_HEADING = 360.0
 
-# A total order of the copies of one event: the earliest arrival wins.
+# The earliest arrival of an event wins; what copies may differ in besides decides in ``copy_order``.
 FIRST_COPY_ORDER = [
     "ingestion_ts", "ts", "lat", "lon", "speed_mps", "accel_mps2", "gyro", "heading",
     "odometer_km", "source", "vehicle_type",
 ]
 
 
+def copy_order(columns: list[str]) -> list[str]:
+    """A total order of different copies: the stated columns first, then all others by name."""
+    first = [c for c in FIRST_COPY_ORDER if c in columns]
+    return [*first, *sorted(c for c in columns if c not in first and c != "event_id")]
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the first in ``order`` (nulls first).
 
@@ -33,8 +39,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def dedup_events(events: DataFrame, order: list[str] | None = None) -> DataFrame:
-    order = order or [c for c in FIRST_COPY_ORDER if c in events.columns]
-    return keep_first(events, ["event_id"], order)
+    return keep_first(events, ["event_id"], order or copy_order(events.columns))
 
 
 def in_plausible_range(

@@ -8,13 +8,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from milemark.operators.ordered import bucket_count, prefix_sums, value_edges, with_bucket
+from milemark.schemas import null_if_nan
 
 BOOTSTRAP_REPLICATES = 200
 MIN_BOOTSTRAP_ROWS = 5
 
 
+def scored(predictions: DataFrame) -> DataFrame:
+    """The rows with a known outcome and a prediction; a missing one (null or NaN) is no score."""
+    return predictions.filter(
+        null_if_nan(F.col("y_true").cast("double")).isNotNull() & null_if_nan(F.col("y_pred").cast("double")).isNotNull()
+    )
+
+
 def regression_metrics(predictions: DataFrame) -> DataFrame:
     """One row: n, MAE, RMSE, R2."""
+    predictions = scored(predictions)
     y, error = F.col("y_true"), F.col("y_true") - F.col("y_pred")
     return predictions.agg(
         F.count(F.lit(1)).alias("n"),
@@ -26,7 +35,7 @@ def regression_metrics(predictions: DataFrame) -> DataFrame:
 
 def brier_score(predictions: DataFrame) -> DataFrame:
     gap = F.col("y_pred") - F.col("y_true")
-    return predictions.agg(F.avg(gap * gap).alias("Brier"))
+    return scored(predictions).agg(F.avg(gap * gap).alias("Brier"))
 
 
 def _score_table(
@@ -38,6 +47,7 @@ def _score_table(
     """Positives and negatives per distinct score, with running sums from the highest score down."""
     weight = F.lit(1) if weight is None else weight
     positive = F.col("y_true") > 0
+    predictions = scored(predictions)
     if edges is None:
         edges = value_edges(predictions, ["y_pred"])["y_pred"]
     counts = (
@@ -107,6 +117,7 @@ def loss_concentration(predictions: DataFrame, order: str, key: str = "row_id")
     that value. Rows of one very frequent value are split by ranges of the unique key: a range holds
     few rows whatever the value, because it holds few rows in all.
     """
+    predictions = scored(predictions)
     edges = value_edges(predictions, [order, key])
     placed = predictions.select(
         F.col(order).alias("score"), F.col(key).alias("key"), F.col("y_true").alias("loss")

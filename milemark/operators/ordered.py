@@ -8,12 +8,14 @@ tasks, and results do not depend on where the cuts lie.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from milemark.schemas import null_if_nan
+
 DEFAULT_SLICE_MS = 900_000
-MAX_BUCKETS = 1024
 
 
 def _sliced(df: DataFrame, ts: str, slice_ms: int) -> DataFrame:
@@ -117,32 +119,38 @@ def running_max_before(
 
 
 def bucket_count(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_BUCKETS, partitions))
+    """As many buckets as a shuffle has partitions."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def value_edges(df: DataFrame, columns: list[str]) -> dict[str, list[float]]:
     """Approximate quantiles that cut each column into buckets of similar size.
 
-    At most ``MAX_BUCKETS`` numbers per column reach the driver. The cuts only steer balance: any
-    cuts give the same results.
+    One number per bucket and column reaches the driver. The cuts only steer balance: any cuts give
+    the same results. NaN counts as null; infinite values take the outermost buckets.
     """
     n = bucket_count(df)
     probabilities = [i / n for i in range(1, n)]
     row = df.agg(
-        *[F.percentile_approx(F.col(c).cast("double"), probabilities, 10_000).alias(c) for c in columns]
+        *[
+            F.percentile_approx(null_if_nan(F.col(c).cast("double")), probabilities, max(10_000, 10 * n)).alias(c)
+            for c in columns
+        ]
     ).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+    return {c: sorted({edge for edge in row[c] or [] if math.isfinite(edge)}) for c in columns}
 
 
 def with_bucket(df: DataFrame, value: str, edges: list[float], out: str = "_bucket") -> DataFrame:
-    """Add the position of ``value`` among the edges: a fixed function of the value."""
-    if not edges:
-        return df.withColumn(out, F.lit(0))
-    splits = [float("-inf"), *edges, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="_value", outputCol="_position", handleInvalid="keep")
-    placed = bucketizer.transform(df.withColumn("_value", F.col(value).cast("double")))
-    return placed.withColumn(out, F.col("_position").cast("int")).drop("_value", "_position")
+    """Add the number of edges up to ``value``, by a binary search in expressions; null and NaN get the last one."""
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col("_value") < edges[middle], search(low, middle)).otherwise(search(middle + 1, high))
+
+    placed = df.withColumn("_value", F.col(value).cast("double"))
+    return placed.withColumn(out, search(0, len(edges))).drop("_value")
 
 
 def prefix_sums(
@@ -178,12 +186,13 @@ def prefix_sums(
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
-    """(column, n, q0, q1, …): exact quantiles with linear interpolation, nulls left out.
+    """(column, n, q0, q1, …): exact quantiles with linear interpolation, nulls and NaN left out; two
+    equal values are their own middle, also if infinite.
 
     Counts per distinct value are collapsed before the shuffle, ranks come from prefix sums.
     """
     edges = value_edges(df, columns)
-    placed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    placed = df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
     for c in columns:
         placed = with_bucket(placed, c, edges[c], out=f"_b_{c}")
     long = placed.select(
@@ -216,5 +225,5 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     for i, p in enumerate(probabilities):
         position = F.lit(float(p)) * (F.col("n") - 1)
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append((lo + (hi - lo) * (position - F.floor(position))).alias(f"q{i}"))
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (position - F.floor(position))).alias(f"q{i}"))
     return per_column.select("column", "n", *out)

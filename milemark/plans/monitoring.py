@@ -41,7 +41,7 @@ def feature_views(features: DataFrame, columns: list[str]) -> dict[str, DataFram
     return {
         "statistics": distribution.describe(features, columns),
         "boxes": distribution.box_statistics(features, columns),
-        "correlations": distribution.correlations(features, columns[: distribution.MAX_CORRELATED]),
+        "correlations": distribution.correlations(features, columns),
         **{f"histogram of {c}": distribution.histogram(features, c) for c in columns},
     }
 

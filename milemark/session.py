@@ -8,8 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the operators rely on; cluster sizing is left to the cluster.
-SQL_SETTINGS = {
+# Settings of the sessions made here, for one machine; a session made elsewhere keeps its own.
+LOCAL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,7 +28,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "mil
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in SQL_SETTINGS.items():
+    for key, value in LOCAL_SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -36,9 +36,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "mil
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings above to a session somebody else made."""
-    for key, value in SQL_SETTINGS.items():
-        spark.conf.set(key, value)
+    """Hours and days are counted in UTC: the one setting results depend on."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
