@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from milemark.catalog import inputs
 from milemark.catalog.registry import (
-    _domain, bronze, gold, query, r, rounded, silver, silver_table, sql_features, training, with_ctes,
+    CTES, _domain, bronze, gold, query, r, rounded, silver, silver_table, sql_features, training, with_ctes,
 )
 from milemark.operators import cleaning, labels, ordered, trips, validation
-from milemark.schemas import CLEANED_ENUMS, DRIVER_FEATURES, EVENTS, SILVER_EVENTS, conform
+from milemark.schemas import CLEANED_ENUMS, DRIVER_FEATURES, ENUM_DOMAINS, EVENTS, SILVER_EVENTS, conform
 
 KEYS = ["event_id", "driver_id", "trip_id", "ts"]
 READINGS = ["lat", "lon", "speed_mps", "accel_mps2"]
@@ -172,17 +172,20 @@ def prj6(spark, sf):
 @query(
     "prj7_null_safe_float",
     with_ctes(
-        """SELECT event_id, ingestion_ts, try_cast(source AS double) AS from_text,
-           try_cast(cast(heading AS varchar) AS double) AS from_number FROM telemetry""",
+        """SELECT event_id, ingestion_ts, NULL::double AS from_text, heading AS from_number,
+           event_seq_no::double AS from_integer FROM telemetry""",
         "telemetry",
     ),
 )
 def prj7(spark, sf):
-    from milemark.functions.driving import to_number
-
-    return inputs.telemetry(spark, sf).select(
-        "event_id", "ingestion_ts", to_number(F.col("source")).alias("from_text"),
-        to_number(F.col("heading").cast("string")).alias("from_number"),
+    """Numeric text is no number."""
+    from milemark.functions.driving import float_or_null
+
+    events = inputs.telemetry(spark, sf).withColumn("text", F.col("event_seq_no").cast("string"))
+    return events.select(
+        "event_id", "ingestion_ts", float_or_null(events, "text").alias("from_text"),
+        float_or_null(events, "heading").alias("from_number"),
+        float_or_null(events, "event_seq_no").alias("from_integer"),
     )
 
 
@@ -250,6 +253,16 @@ def val3(spark, sf):
     return validation.silver_report(bronze(spark, sf))
 
 
+@query(
+    "val3_illegal_sources",
+    with_ctes(
+        f"SELECT source, count(*) AS rows FROM bronze WHERE source NOT IN ({_domain('source')}) GROUP BY source", "bronze"
+    ),
+)
+def val3_sources(spark, sf):
+    return validation.illegal_sources(bronze(spark, sf))
+
+
 _DOMAIN_ROWS = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {c} AS value, {c} IN ({_domain(c)}) AS legal, count(*) AS rows "
     f"FROM telemetry WHERE {c} IS NOT NULL GROUP BY {c}"
@@ -276,7 +289,25 @@ def val4_nulls(spark, sf):
     return validation.null_report(inputs.telemetry(spark, sf))
 
 
-@query("val4_contract")
+_FOUND_SQL = "any_value(CASE typeof({c}) WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof({c})) END)"
+_CONTRACT_ROWS = " UNION ALL ".join(
+    f"SELECT '{f.name}' AS \"column\", '{'optional' if f.nullable else 'required'}' AS kind, "
+    f"{str(f.name in _GIVEN).lower()} AS present, '{f.dataType.simpleString()}' AS expected_type, "
+    + (
+        f"{_FOUND_SQL.format(c=f.name)} AS found_type, {_FOUND_SQL.format(c=f.name)} = '{f.dataType.simpleString()}' "
+        if f.name in _GIVEN
+        else "NULL AS found_type, false "
+    )
+    + "AS type_ok, "
+    + (f"'{','.join(ENUM_DOMAINS[f.name])}'" if f.name in ENUM_DOMAINS else "NULL")
+    + " AS domain, "
+    + (f"count(*) FILTER ({f.name} IS NULL)" if f.name in _GIVEN else "NULL")
+    + (" AS nulls FROM telemetry" if f.name in _GIVEN else " AS nulls")
+    for f in EVENTS.fields
+)
+
+
+@query("val4_contract", with_ctes(_CONTRACT_ROWS, "telemetry"))
 def val4_contract(spark, sf):
     return validation.contract_report(inputs.telemetry(spark, sf))
 
@@ -301,20 +332,40 @@ def val5(spark, sf):
 _RULES = " UNION ALL ".join(
     [
         f"SELECT '{c} in [0,1]' AS rule, count(*) FILTER ({c} < 0 OR {c} > 1) AS violations, "
-        f"count(*) FILTER ({c} < 0 OR {c} > 1) = 0 AS ok FROM gold"
+        f"count(*) FILTER ({c} < 0 OR {c} > 1) = 0 AS ok FROM spoiled"
         for c in validation.RATE_COLUMNS
     ]
     + [
         f"SELECT '{c} >= 0' AS rule, count(*) FILTER ({c} < 0) AS violations, "
-        f"count(*) FILTER ({c} < 0) = 0 AS ok FROM gold"
+        f"count(*) FILTER ({c} < 0) = 0 AS ok FROM spoiled"
         for c in validation.NON_NEGATIVE_COLUMNS
     ]
 )
 
 
-@query("val6_gold_rules", with_ctes(_RULES, "gold"))
+CTES["spoiled"] = (
+    ["gold"],
+    """SELECT * REPLACE (harsh_brake_rate + (driver_id LIKE '%7')::int AS harsh_brake_rate,
+         overspeed_rate - 2 * (driver_id LIKE '%11')::int AS overspeed_rate,
+         CASE WHEN driver_id LIKE '%3' THEN -1 - total_km ELSE total_km END AS total_km) FROM gold""",
+)
+
+
+def spoiled_gold(spark, sf):
+    """Features that break some of the rules, each for other drivers."""
+    ends = F.col("driver_id").endswith
+    return gold(spark, sf).withColumns(
+        {
+            "harsh_brake_rate": F.col("harsh_brake_rate") + ends("7").cast("int"),
+            "overspeed_rate": F.col("overspeed_rate") - 2 * ends("11").cast("int"),
+            "total_km": F.when(ends("3"), -1 - F.col("total_km")).otherwise(F.col("total_km")),
+        }
+    )
+
+
+@query("val6_gold_rules", with_ctes(_RULES, "spoiled"))
 def val6(spark, sf):
-    return validation.gold_rules(gold(spark, sf))
+    return validation.gold_rules(spoiled_gold(spark, sf))
 
 
 @query(
@@ -383,23 +434,6 @@ def or1(spark, sf):
     return ordered.place_in_order(silver_table(spark, sf), trips.TRIP_KEYS, order).select(*KEYS, "place")
 
 
-@query(
-    "or2_models_by_metric",
-    with_ctes(
-        """SELECT name, n, latest, row_number() OVER (ORDER BY n DESC, name) AS place FROM (
-             SELECT name, count(*) AS n, max(created_at) AS latest FROM registry_in GROUP BY name)""",
-        "registry_in",
-    ),
-)
-def or2(spark, sf):
-    from pyspark.sql import Window
-
-    per_model = inputs.registry_in(spark, sf).groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"), F.max("created_at").alias("latest")
-    )
-    return per_model.withColumn("place", F.row_number().over(Window.orderBy(F.col("n").desc(), "name")))
-
-
 @query(
     "or3_first_rows",
     with_ctes(f"SELECT {sql_features()} FROM gold ORDER BY driver_id LIMIT 100", "gold"),

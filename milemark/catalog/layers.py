@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from milemark.catalog import inputs
 from milemark.catalog.aggregates import rounded_trips, sql_trip_columns
-from milemark.catalog.cleaning import REASON_SQL
-from milemark.catalog.registry import bronze, gold, gold_table, query, r, rounded, silver, silver_trips, sql_features, with_ctes
+from milemark.catalog.cleaning import REASON_SQL, spoiled_gold
+from milemark.catalog.registry import (
+    FEATURE_NAMES, ORACLES, bronze, gold, gold_table, query, r, rounded, silver, silver_trips, sql_features, training,
+    with_ctes,
+)
 from milemark.functions.driving import event_date
 from milemark.operators import cleaning, features, labels, trips, validation
 from milemark.plans import learning, medallion, monitoring, quality
@@ -87,6 +90,15 @@ def src4(spark, sf):
     return _by_source(readers.read_tree(spark, _silver_files(spark, sf), "*.parquet"))
 
 
+@query(
+    "src4_by_folder", with_ctes(f"SELECT * FROM ({_BY_DATE}) WHERE event_date LIKE '1996-%'", "silver")
+)
+def src4_folder(spark, sf):
+    """Only the folders of one year; the day comes back from their names."""
+    events = readers.read_tree(spark, _silver_files(spark, sf), folder_glob="event_date=1996-*")
+    return _by_date(events.withColumn("event_date", F.col("event_date").cast("string")))
+
+
 def _dead_letter_files(spark, sf) -> str:
     path = scratch_path(spark, "dlq")
     _, bad = validation.route(validation.validate(inputs.telemetry(spark, sf)))
@@ -133,21 +145,29 @@ def src9(spark, sf):
     return table.select("driver_id", "total_events", "total_km")
 
 
-@query("src10_file_inventory")
+@query("src10_file_inventory", with_ctes("SELECT count(*) AS rows, true AS all_listed, true AS sized, true AS dated FROM bronze", "bronze"))
 def src10(spark, sf):
+    """The inventory lists the files that the rows come from, with sizes; the latest is one of them."""
     path = scratch_path(spark, "bronze")
     writers.write_bronze(conform(bronze(spark, sf), EVENTS), path)
-    inventory = readers.file_inventory(spark, path, "*.parquet")
-    return readers.inventory_totals(inventory)
+    totals = readers.inventory_totals(readers.file_inventory(spark, path, "*.parquet"))
+    per_file = spark.read.schema(EVENTS).parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    files = totals.select("files").scalar()
+    return per_file.agg(
+        F.sum("n").alias("rows"), (F.count(F.lit(1)) == files).alias("all_listed"),
+        (totals.select("total_kb").scalar() > 0).alias("sized"),
+        F.max(F.col("file") == totals.select("latest_file").scalar()).alias("dated"),
+    )
 
 
-@query("snk1_bronze_files")
+@query("snk1_bronze_files", with_ctes("SELECT count(*) AS rows, true AS within_limit, count(*) > 5000 AS several FROM bronze", "bronze"))
 def snk1(spark, sf):
-    """Rows per written file: none above the limit."""
+    """Rows of all written files: none above the limit."""
     path = scratch_path(spark, "bronze")
     writers.write_bronze(conform(bronze(spark, sf), EVENTS), path, max_rows=5_000)
-    return spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.count(F.lit(1)).alias("n")
+    per_file = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.agg(
+        F.sum("n").alias("rows"), (F.max("n") <= 5_000).alias("within_limit"), (F.count(F.lit(1)) > 1).alias("several")
     )
 
 
@@ -272,10 +292,49 @@ def jb9(spark, sf):
     """SELECT count(*) AS row_count, count(*) FILTER (speed_mps < 0) AS bad_speed,
        count(*) FILTER (lat < -90 OR lat > 90) AS bad_lat, count(*) FILTER (lon < -180 OR lon > 180) AS bad_lon,
        count(*) FILTER (source NOT IN ('phone', 'OBD', 'simulator')) AS bad_source_rows, '' AS missing_columns
-       FROM silver""", "silver"))
+       FROM telemetry""", "telemetry"))
 def jb10(spark, sf):
-    events = silver(spark, sf).withColumn("event_date", event_date(F.col("ts")))
-    return quality.silver_quality(conform(events, SILVER_EVENTS))["violations"]
+    """Events as they come, in the Silver contract, with all their faults."""
+    events = inputs.telemetry(spark, sf).withColumn("event_date", event_date(F.col("ts")))
+    return quality.silver_quality(conform(events, SILVER_EVENTS), ["violations"])["violations"]
+
+
+@query("jb10_table_rules", ORACLES["val6_gold_rules"])
+def jb10_rules(spark, sf):
+    table, labelled = spoiled_gold(spark, sf), training(spark, sf)
+    return quality.table_quality(table, labelled, labels.training_totals(labelled))["rules"]
+
+
+@query("jb10_training_against_manifest", ORACLES["val5_training_consistency"])
+def jb10_training(spark, sf):
+    table, labelled = gold(spark, sf), training(spark, sf)
+    declared = labels.training_totals(labelled).select("rows", (F.col("positives") + 1).alias("positives"))
+    return quality.table_quality(table, labelled, declared)["training"]
+
+
+@query("jb9_feature_statistics", ORACLES["ag12_describe"])
+def jb9_statistics(spark, sf):
+    return rounded(monitoring.feature_views(gold_table(spark, sf), FEATURE_NAMES)["statistics"])
+
+
+@query("jb9_feature_correlations", ORACLES["ag16_correlations"])
+def jb9_correlations(spark, sf):
+    return rounded(monitoring.feature_views(gold_table(spark, sf), FEATURE_NAMES)["correlations"])
+
+
+@query("jb9_frequency_roc", ORACLES["ag23_roc_curve"])
+def jb9_roc(spark, sf):
+    return rounded(monitoring.frequency_views(inputs.class_preds(spark, sf))["roc"], 9)
+
+
+@query("jb9_frequency_distribution", ORACLES["ag14_histogram_by_label"])
+def jb9_distribution(spark, sf):
+    return monitoring.frequency_views(inputs.class_preds(spark, sf))["distribution"]
+
+
+@query("jb9_severity_residuals", ORACLES["ag14_residual_histogram"])
+def jb9_residuals(spark, sf):
+    return monitoring.severity_views(inputs.reg_preds(spark, sf))["residuals"]
 
 
 @query(

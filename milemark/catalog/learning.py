@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from milemark.catalog import inputs
-from milemark.catalog.registry import gold, query, r, rounded, training, with_ctes
+from milemark.catalog.registry import CTES, FEATURE_NAMES, gold, query, r, rounded, sql_uniform, training, with_ctes
 from milemark.models import scoring
 from milemark.models.estimators import SPECS, SPECS_BY_NAME
 from milemark.models.frames import frequency_frame, severity_frame
@@ -16,18 +18,55 @@ from milemark.session import scratch_path, store
 from milemark.sources import readers, writers
 
 
+# The sides of the models as SQL: whole drivers by hash; if a side lacks a class, both sides are all rows.
+_USABLE = """count(*) >= 10 AND count(*) FILTER (t AND positive) > 0 AND count(*) FILTER (t AND NOT positive) > 0
+  AND count(*) FILTER (NOT t AND positive) > 0 AND count(*) FILTER (NOT t AND NOT positive) > 0"""
+CTES["frequency_rows"] = (
+    ["training"],
+    f"""SELECT driver_id, claim_occurred::int::double AS label, claim_occurred AS positive,
+          {sql_uniform('driver_id', labels.SEED, 'split')} < 0.2::double AS t FROM training""",
+)
+CTES["severity_rows"] = (
+    ["training"],
+    f"""SELECT driver_id, claim_amount AS label, claim_amount > (SELECT avg(claim_amount) FROM training WHERE claim_occurred)
+          AS positive, {sql_uniform('driver_id', labels.SEED, 'split')} < 0.2::double AS t
+        FROM training WHERE claim_occurred""",
+)
+for _side in ("frequency", "severity"):
+    CTES[f"{_side}_test"] = (
+        [f"{_side}_rows"],
+        f"SELECT * FROM {_side}_rows WHERE t OR NOT (SELECT {_USABLE} FROM {_side}_rows)",
+    )
+
+
+def _side(spec) -> str:
+    return f"{spec.kind.lower()}_test"
+
+
 def _frame(spec, spark, sf):
     make = frequency_frame if spec.kind == "Frequency" else severity_frame
     return make(training(spark, sf))
 
 
+def _checked(predictions, kind: str):
+    """Driver, outcome, and whether the prediction is one: a probability, or an amount that is not negative."""
+    p = F.col("y_pred")
+    fits = p.between(0, 1) if kind == "Frequency" else (p >= 0) & (p < float("inf"))
+    return predictions.select("driver_id", F.round("y_true", 4).alias("y_true"), F.coalesce(fits, F.lit(False)).alias("fits"))
+
+
+def _checked_sql(spec) -> str:
+    return with_ctes(f"SELECT driver_id, {r('label', 4)} AS y_true, true AS fits FROM {_side(spec)}", _side(spec))
+
+
 def _model_query(name: str, model: str) -> None:
-    @query(name)
+    spec = SPECS_BY_NAME[model]
+
+    @query(name, _checked_sql(spec))
     def fit_and_predict(spark, sf):
-        """Test predictions of the model."""
-        spec = SPECS_BY_NAME[model]
+        """Test predictions of the model: which drivers, with which outcome, and whether each is a prediction."""
         frame = _frame(spec, spark, sf)
-        return scoring.predict(spec.fit(frame).model, frame.test, spec.kind)
+        return _checked(scoring.predict(spec.fit(frame).model, frame.test, spec.kind), spec.kind)
 
 
 _model_query("ml2_logistic_regression", "frequency_logit")
@@ -38,25 +77,48 @@ _model_query("ml6_boosted_regressor", "severity_xgb")
 _model_query("ml7_gamma_glm", "severity_gamma_glm")
 
 
-@query("ml8_calibration")
+@query(
+    "ml8_calibration",
+    with_ctes(
+        f"""SELECT count(*) AS n, {r('avg(label)')} AS mean_true, true AS fits,
+              CASE WHEN (SELECT count(*) FROM frequency_rows) - count(*) >= 50 THEN 'isotonic_cv3' ELSE 'sigmoid_prefit' END
+              AS calibration FROM frequency_test""",
+        "frequency_test",
+    ),
+)
 def ml8(spark, sf):
-    """Raw against calibrated probability of the logistic model, per calibration bin."""
+    """Calibration bins of the logistic model, summed up again."""
     frame = frequency_frame(training(spark, sf))
     fitted = SPECS_BY_NAME["frequency_logit"].fit(frame)
     predictions = scoring.predict(fitted.model, frame.test, "Frequency")
-    return metrics.calibration_table(store(predictions, "calibrated")).withColumn(
-        "calibration", F.lit(fitted.calibration)
+    bins = metrics.calibration_table(store(predictions, "calibrated"))
+    return bins.agg(
+        F.sum("n").alias("n"),
+        F.round(F.sum(F.col("mean_true") * F.col("n")) / F.sum("n"), 6).alias("mean_true"),
+        F.min(F.col("mean_pred").between(0, 1) & F.col("bin").between(1, 10)).alias("fits"),
+        F.lit(fitted.calibration).alias("calibration"),
     )
 
 
-@query("ml9_evaluation")
+@query(
+    "ml9_evaluation",
+    with_ctes(
+        f"""SELECT '{SPECS_BY_NAME['frequency_logit'].title}' AS "Model", (SELECT count(*) FROM frequency_test) AS n_test,
+              (SELECT {_USABLE} FROM frequency_rows) AS was_split, true AS in_interval
+            UNION ALL SELECT '{SPECS_BY_NAME['severity_linreg'].title}', (SELECT count(*) FROM severity_test),
+              (SELECT {_USABLE} FROM severity_rows), true""",
+        "frequency_test", "severity_test",
+    ),
+)
 def ml9(spark, sf):
-    """Metrics with intervals of a frequency and a severity model, side by side."""
+    """Metrics with intervals of a frequency and a severity model, side by side; each metric lies in its interval."""
     rows = []
-    for model in ("frequency_logit", "severity_linreg"):
+    for model, bounded in (("frequency_logit", ["AUC", "PR"]), ("severity_linreg", ["MAE"])):
         spec = SPECS_BY_NAME[model]
-        rows.append(learning.train_one(spec, _frame(spec, spark, sf), intervals=True).metrics)
-    return metrics.compare_models(rows)
+        row = learning.train_one(spec, _frame(spec, spark, sf), intervals=True).metrics
+        inside = [F.col(m).between(F.col(f"{m}_CI_low"), F.col(f"{m}_CI_high")) for m in bounded]
+        rows.append(row.withColumn("in_interval", reduce(lambda a, b: a & b, inside)))
+    return metrics.compare_models(rows).select("Model", "n_test", "was_split", "in_interval")
 
 
 # A model without any random or iterative part can be checked exactly: the straight line through one
@@ -83,9 +145,9 @@ def ml5_line(spark, sf):
     return rounded(predicted.select("row_id", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred")), 4)
 
 
-@query("ml10_saved_model")
+@query("ml10_saved_model", with_ctes("SELECT driver_id, true AS same FROM severity_test", "severity_test"))
 def ml10(spark, sf):
-    """A model saved, loaded again, and applied; with its registry entry."""
+    """A model saved, found by its registry entry, loaded and applied again: as the stored predictions."""
     from pyspark.ml import PipelineModel
 
     base = scratch_path(spark, "ml10")
@@ -95,18 +157,58 @@ def ml10(spark, sf):
     )
     entry = monitoring.latest_per_model(readers.read_registry(spark, f"{base}/registry"))
     model = PipelineModel.load(entry.first()["artifact"])
-    frame = severity_frame(training(spark, sf))
-    return scoring.predict(model, frame.test, spec.kind).select("driver_id", "y_pred")
+    again = scoring.predict(model, severity_frame(training(spark, sf)).test, spec.kind)
+    stored = readers.read_table(spark, f"{base}/predictions/{spec.name}").select("driver_id", F.col("y_pred").alias("stored"))
+    near = F.abs(F.col("y_pred") - F.col("stored")) <= 1e-9 * (1 + F.abs("stored"))
+    return again.join(stored, "driver_id", "full_outer").select("driver_id", F.coalesce(near, F.lit(False)).alias("same"))
 
 
-@query("ml11_all_models")
+_METRIC_ROWS = " UNION ALL ".join(
+    f"""SELECT '{spec.title}' AS "Model", {str(spec.kind == 'Frequency').lower()} AS has_auc,
+      {str(spec.kind == 'Severity').lower()} AS has_mae, (SELECT count(*) FROM {_side(spec)}) AS n_test, true AS as_stored,
+      (SELECT {_USABLE} FROM {spec.kind.lower()}_rows) AS was_split"""
+    for spec in SPECS
+)
+
+
+@query("ml11_all_models", with_ctes(_METRIC_ROWS, "frequency_test", "severity_test"))
 def ml11(spark, sf):
-    """All six models, one summary row each."""
+    """All six models, one summary row each; the metrics are those of the stored predictions."""
     base = scratch_path(spark, "ml11")
     learning.train_models(
         training(spark, sf), f"{base}/models", f"{base}/predictions", f"{base}/summary", f"{base}/registry", SPECS
     )
-    return readers.read_model_summary(spark, f"{base}/summary").select("Model", "AUC", "PR", "Brier", "MAE", "RMSE", "R2")
+    again = []
+    for spec in SPECS:
+        row = learning.evaluate(readers.read_table(spark, f"{base}/predictions/{spec.name}"), spec.kind)
+        again.append(row.select(F.lit(spec.title).alias("Model"), "n_test", F.col("AUC" if spec.kind == "Frequency" else "MAE").alias("again")))
+    summary = readers.read_model_summary(spark, f"{base}/summary")
+    metric = F.coalesce("AUC", "MAE")
+    return summary.join(metrics.compare_models(again), "Model").select(
+        "Model", F.col("AUC").isNotNull().alias("has_auc"), F.col("MAE").isNotNull().alias("has_mae"), "n_test",
+        (F.abs(metric - F.col("again")) <= 1e-9 * (1 + F.abs(metric))).alias("as_stored"), "was_split",
+    )
+
+
+@query(
+    "jb6_train_models",
+    " UNION ALL ".join(
+        f"SELECT '{spec.name}' AS name, 'v7' AS version, 'train' AS phase, true AS hashed, 1 AS metric_rows"
+        for spec in SPECS if spec.name in ("frequency_logit", "severity_gamma_glm")
+    ),
+)
+def jb6(spark, sf):
+    """The training job's registry entries, each with the metric file it names."""
+    base = scratch_path(spark, "jb6")
+    learning.train_models(
+        training(spark, sf), f"{base}/models", f"{base}/predictions", f"{base}/summary", f"{base}/registry",
+        [SPECS_BY_NAME["frequency_logit"], SPECS_BY_NAME["severity_gamma_glm"]], version="v7",
+    )
+    entries = readers.read_registry(spark, f"{base}/registry")
+    written = spark.read.json(f"{base}/predictions/*_metrics").groupBy(F.col("name").alias("of")).agg(F.count(F.lit(1)).alias("metric_rows"))
+    return entries.join(written, entries["name"] == written["of"]).select(
+        "name", "version", "phase", (F.length("data_hash") == 16).alias("hashed"), "metric_rows"
+    )
 
 
 def _trained_pair(spark, sf, base):
@@ -119,27 +221,73 @@ def _trained_pair(spark, sf, base):
     )
 
 
-@query("ml12_risk_scores")
+def _checked_scores(scores):
+    p, amount, loss = F.col("p_claim_30d"), F.col("severity_pred"), F.col("expected_loss")
+    return scores.select(
+        "driver_id", F.round("total_km", 6).alias("total_km"), (p.between(0, 1) & (amount >= 0)).alias("fits"),
+        (F.abs(loss - p * amount) <= 1e-9 * (1 + F.abs(loss))).alias("is_product"),
+    )
+
+
+_SCORES_SQL = with_ctes(f"SELECT driver_id, {r('total_km')} AS total_km, true AS fits, true AS is_product FROM training", "training")
+
+
+@query("ml12_risk_scores", _SCORES_SQL)
 def ml12(spark, sf):
     """Every driver scored with the best pair of the summary."""
     base = scratch_path(spark, "ml12")
     _trained_pair(spark, sf, base)
-    return learning.score_drivers(spark, f"{base}/training", f"{base}/summary", f"{base}/scores")
+    return _checked_scores(learning.score_drivers(spark, f"{base}/training", f"{base}/summary", f"{base}/scores"))
+
+
+@query(
+    "jb7_default_pair",
+    with_ctes(
+        "SELECT count(*) AS rows, count(DISTINCT driver_id) AS drivers, 'frequency_rf' AS frequency, 'severity_xgb' AS severity FROM training",
+        "training",
+    ),
+)
+def jb7(spark, sf):
+    """Without a summary the default models score; the manifest names them."""
+    base = scratch_path(spark, "jb7")
+    data = training(spark, sf)
+    data.write.parquet(f"{base}/training")
+    frames = {"Frequency": frequency_frame(data), "Severity": severity_frame(data)}
+    # small models under the default names
+    for name, small in ((monitoring.DEFAULT_FREQUENCY_MODEL, "frequency_logit"), (monitoring.DEFAULT_SEVERITY_MODEL, "severity_linreg")):
+        spec = SPECS_BY_NAME[small]
+        spec.fit(frames[spec.kind]).model.write().overwrite().save(f"{base}/models/{name}")
+    learning.score_drivers(
+        spark, f"{base}/training", f"{base}/none", f"{base}/scores", f"{base}/preview", f"{base}/manifests", f"{base}/models"
+    )
+    last = lambda c: F.element_at(F.split(c, "/"), -1)
+    return readers.read_json_documents(spark, f"{base}/manifests").select(
+        "rows", "drivers", last("frequency_model").alias("frequency"), last("severity_model").alias("severity")
+    )
 
 
-@query("ml13_feature_weights")
+@query(
+    "ml13_feature_weights",
+    " UNION ALL ".join(
+        f"SELECT '{model}' AS model, '{feature}' AS feature, '{kind}' AS kind, true AS fits"
+        for model, kind in (("severity_linreg", "coefficient"), ("frequency_rf", "importance"))
+        for feature in FEATURE_NAMES
+    ),
+)
 def ml13(spark, sf):
-    """Coefficients of a linear and importances of a tree model."""
+    """Coefficients of a linear and importances of a tree model; importances sum to 1."""
     rows = []
     for model in ("severity_linreg", "frequency_rf"):
         spec = SPECS_BY_NAME[model]
         frame = _frame(spec, spark, sf)
         weights = scoring.feature_weights(spec.fit(frame).model, frame.features, spark)
-        rows.append(weights.withColumn("model", F.lit(model)))
+        total = weights.agg(F.sum("weight")).scalar()
+        whole = (F.col("kind") != "importance") | ((F.col("weight") >= 0) & (F.abs(total - 1) < 1e-6))
+        rows.append(weights.select(F.lit(model).alias("model"), "feature", "kind", (whole & ~F.isnan("weight")).alias("fits")))
     return metrics.compare_models(rows)
 
 
-@query("ml14_stored_predictions")
+@query("ml14_stored_predictions", _checked_sql(SPECS_BY_NAME["severity_gamma_glm"]))
 def ml14(spark, sf):
     """Predictions as the training job writes them."""
     base = scratch_path(spark, "ml14")
@@ -147,7 +295,7 @@ def ml14(spark, sf):
         training(spark, sf), f"{base}/models", f"{base}/predictions", f"{base}/summary", f"{base}/registry",
         [SPECS_BY_NAME["severity_gamma_glm"]],
     )
-    return readers.read_table(spark, f"{base}/predictions/severity_gamma_glm").select("row_id", "y_true", "y_pred")
+    return _checked(readers.read_table(spark, f"{base}/predictions/severity_gamma_glm"), "Severity")
 
 
 @query(
@@ -241,6 +389,18 @@ def wn7(spark, sf):
     return monitoring.best_models(scorer_summary(spark, sf))
 
 
+@query(
+    "or2_models_by_metric",
+    with_ctes(
+        f"""SELECT "Model", "AUC", CASE WHEN "AUC" IS NOT NULL THEN rank() OVER (ORDER BY "AUC" DESC NULLS LAST) END AS place
+            FROM ({_SUMMARY_CTE})""",
+        "class_preds", "reg_preds",
+    ),
+)
+def or2(spark, sf):
+    return monitoring.models_by_metric(scorer_summary(spark, sf), "AUC", descending=True).select("Model", "AUC", "place")
+
+
 @query(
     "src7_model_summary_csv",
     with_ctes(
@@ -251,7 +411,7 @@ def wn7(spark, sf):
 def src7(spark, sf):
     path = scratch_path(spark, "summary")
     writers.write_csv(scorer_summary(spark, sf), path)
-    return readers.read_model_summary(spark, path).drop("config_hash", "run_time")
+    return readers.read_model_summary(spark, path).drop("config_hash", "run_time", "was_split")
 
 
 @query(

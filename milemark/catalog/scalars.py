@@ -154,11 +154,22 @@ def fn12(spark, sf):
     return rounded(gold(spark, sf).select("driver_id", draw.alias("severity")))
 
 
-@query("fn12_gamma_any_shape")
+@query(
+    "fn12_gamma_any_shape",
+    with_ctes("SELECT count(*) AS n, true AS positive, true AS mean_ok, true AS variance_ok FROM gold", "gold"),
+)
 def fn12_any(spark, sf):
-    """A shape that is no integer needs rejection sampling, over Arrow batches."""
-    draw = hashing.gamma(F.col("driver_id"), SEED, 2.5, labels.GAMMA_SCALE)
-    return gold(spark, sf).select("driver_id", draw.alias("severity"))
+    """A shape that is no integer needs rejection sampling, over Arrow batches; checked by its moments: the mean k s and
+    the variance k s² within five standard errors."""
+    shape, scale = 2.5, labels.GAMMA_SCALE
+    x = F.col("severity")
+    drawn = gold(spark, sf).select(hashing.gamma(F.col("driver_id"), SEED, shape, scale).alias("severity"))
+    n = F.count(x)
+    return drawn.agg(
+        n.alias("n"), (F.min(x) > 0).alias("positive"),
+        (F.abs(F.avg(x) - shape * scale) <= 5 * scale * shape**0.5 / F.sqrt(n)).alias("mean_ok"),
+        (F.abs(F.var_pop(x) - shape * scale**2) <= 5 * shape * scale**2 * (2 + 6 / shape) ** 0.5 / F.sqrt(n)).alias("variance_ok"),
+    )
 
 
 @query(

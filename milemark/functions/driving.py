@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Thresholds of the driver features.
 HARSH_BRAKE_MPS2 = -3.0
@@ -90,3 +91,9 @@ def share(flag: Column) -> Column:
 def to_number(column: Column) -> Column:
     """Anything that is not a number becomes null."""
     return column.try_cast("double")
+
+
+def float_or_null(df: DataFrame, column: str) -> Column:
+    """A number as double; anything else, numeric text included, becomes null."""
+    number = isinstance(df.schema[column].dataType, T.NumericType)
+    return F.col(column).cast("double") if number else F.lit(None).cast("double")

@@ -61,7 +61,9 @@ class Fitted:
     calibration: str | None = None
 
 
-def fit_logistic(frame: ModelFrame, seed: int = SEED, inverse_penalty: float = 1.0) -> Fitted:
+def fit_logistic(
+    frame: ModelFrame, seed: int = SEED, inverse_penalty: float = 1.0, min_calibration_rows: int = MIN_CALIBRATION_ROWS
+) -> Fitted:
     """Scaled, balanced logistic regression with calibrated probabilities.
 
     With enough rows of both classes, three models are fitted on two thirds each, an isotonic
@@ -71,7 +73,7 @@ def fit_logistic(frame: ModelFrame, seed: int = SEED, inverse_penalty: float = 1
     """
     train = add_class_weight(frame.train, "balanced")
     counts = train.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("classes")).first()
-    if counts["n"] >= MIN_CALIBRATION_ROWS and counts["classes"] == 2:
+    if counts["n"] >= min_calibration_rows and counts["classes"] == 2:
         fold = F.floor(uniform(F.col("driver_id"), seed, "fold") * CALIBRATION_FOLDS)
         folded = train.withColumn("fold", fold)
         stages = []

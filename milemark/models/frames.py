@@ -30,7 +30,7 @@ def row_key() -> Column:
     return F.xxhash64("driver_id")
 
 
-def _frame(labelled: DataFrame, label: Column, positive: Column, seed: int) -> ModelFrame:
+def _frame(labelled: DataFrame, label: Column, positive: Column, seed: int, min_rows: int) -> ModelFrame:
     features = numeric_features(labelled)
     rows = with_split(labelled, "driver_id", seed).select(
         "driver_id",
@@ -43,7 +43,7 @@ def _frame(labelled: DataFrame, label: Column, positive: Column, seed: int) -> M
     )
     # iterative solvers read the rows many times: written once, in files of a sensible size
     rows = store(rows.hint("rebalance"), "model-frame")
-    usable = split_is_usable(rows, "_positive", MIN_SPLIT_ROWS).first()["usable"]
+    usable = split_is_usable(rows, "_positive", min_rows).first()["usable"]
     rows = rows.drop("_positive")
     if not usable:
         both = rows.drop("is_test")
@@ -53,14 +53,14 @@ def _frame(labelled: DataFrame, label: Column, positive: Column, seed: int) -> M
     )
 
 
-def frequency_frame(training: DataFrame, seed: int = SEED) -> ModelFrame:
+def frequency_frame(training: DataFrame, seed: int = SEED, min_rows: int = MIN_SPLIT_ROWS) -> ModelFrame:
     """Every driver; the label tells whether a claim occurred."""
     unified = unify_label_names(training)
     occurred = F.col("had_claim_within_30d").cast("int")
-    return _frame(unified, occurred, occurred, seed)
+    return _frame(unified, occurred, occurred, seed, min_rows)
 
 
-def severity_frame(training: DataFrame, seed: int = SEED) -> ModelFrame | None:
+def severity_frame(training: DataFrame, seed: int = SEED, min_rows: int = MIN_SPLIT_ROWS) -> ModelFrame | None:
     """Drivers with a claim; the label is its amount. ``None`` without claims.
 
     The split asks for two classes on both sides; for amounts these are above and up to the mean.
@@ -69,7 +69,7 @@ def severity_frame(training: DataFrame, seed: int = SEED) -> ModelFrame | None:
     summary = claims.agg(F.count(F.lit(1)).alias("n"), F.avg("claim_severity").alias("mean")).first()
     if summary["n"] == 0:
         return None
-    return _frame(claims, F.col("claim_severity"), F.col("claim_severity") > F.lit(summary["mean"]), seed)
+    return _frame(claims, F.col("claim_severity"), F.col("claim_severity") > F.lit(summary["mean"]), seed, min_rows)
 
 
 def add_class_weight(train: DataFrame, scheme: str) -> DataFrame:

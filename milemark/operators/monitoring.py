@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from milemark.functions.driving import MS_PER_DAY
 from milemark.operators.cleaning import label_columns
-from milemark.operators.ordered import exact_quantiles
+from milemark.operators.ordered import exact_quantiles, prefix_sums, value_edges, with_bucket
 
 HIGH_RISK_FACTOR = 1.5
 
@@ -94,13 +94,27 @@ def last_entries(registry: DataFrame, n: int = 10, order: list[str] = ["created_
     return registry.orderBy(*[F.col(c).desc() for c in order]).limit(n)
 
 
+def models_by_metric(summary: DataFrame, metric: str, descending: bool) -> DataFrame:
+    """Add ``place``, the rank of each model by a metric (equal figures share one; unknown ones have none).
+
+    Places come from counts by figure and their running sums, so no window holds the whole summary.
+    """
+    edges = value_edges(summary, [metric])[metric]
+    counts = summary.filter(F.col(metric).isNotNull()).groupBy(metric).agg(F.count(F.lit(1)).alias("n"))
+    ranked = prefix_sums(with_bucket(counts, metric, edges), metric, ["n"], descending=descending)
+    places = ranked.select(F.col(metric).alias("_figure"), (F.col("n_cum") - F.col("n") + 1).alias("place"))
+    return summary.join(places, F.col(metric) == F.col("_figure"), "left").drop("_figure")
+
+
 DEFAULT_FREQUENCY_MODEL = "frequency_rf"
 DEFAULT_SEVERITY_MODEL = "severity_xgb"
 
 
-def best_models(summary: DataFrame) -> DataFrame:
+def best_models(summary: DataFrame, models_dir: str | None = None) -> DataFrame:
     """One row (frequency_artifact, severity_artifact): highest AUC among models named Frequency,
-    lowest MAE among those named Severity; unknown metrics last, ties by name; defaults if none."""
+    lowest MAE among those named Severity; unknown metrics last, ties by name; where there is none, the
+    default model, below ``models_dir``."""
+    folder = "" if models_dir is None else f"{models_dir.rstrip('/')}/"
 
     def first(kind: str, order: list) -> DataFrame:
         # two aggregates rather than a sort: the summary may be any size and is read once
@@ -113,7 +127,7 @@ def best_models(summary: DataFrame) -> DataFrame:
     both = frequency.unionByName(severity)
 
     def pick(kind: str, default: str):
-        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("artifact"))), F.lit(default))
+        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("artifact"))), F.lit(folder + default))
 
     return both.agg(
         pick("Frequency", DEFAULT_FREQUENCY_MODEL).alias("frequency_artifact"),

@@ -115,8 +115,14 @@ def silver_report(events: DataFrame, contract: T.StructType = SILVER_EVENTS) ->
     )
 
 
+def illegal_sources(events: DataFrame) -> DataFrame:
+    """(source, rows) of every source outside the domain."""
+    illegal = events.filter(~F.col("source").isin(ENUM_DOMAINS["source"]))
+    return illegal.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def contract_report(df: DataFrame, contract: T.StructType = EVENTS) -> DataFrame:
-    """One row per contract column: present, expected and found type, optional or required."""
+    """One row per contract column: present, expected and found type, optional or required, nulls found."""
     found = {f.name: f for f in df.schema.fields}
     rows = []
     for field in contract.fields:
@@ -132,11 +138,12 @@ def contract_report(df: DataFrame, contract: T.StructType = EVENTS) -> DataFrame
                 ",".join(ENUM_DOMAINS.get(field.name, [])) or None,
             )
         )
-    return df.sparkSession.createDataFrame(
+    declared = df.sparkSession.createDataFrame(
         rows,
         "column string, kind string, present boolean, expected_type string, found_type string, "
         "type_ok boolean, domain string",
     )
+    return declared.join(null_report(df, contract).select("column", "nulls"), "column", "left")
 
 
 def domain_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

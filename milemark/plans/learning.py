@@ -80,6 +80,7 @@ def train_one(spec: Spec, frame: ModelFrame, intervals: bool = False) -> Trained
         F.lit(spec.title).alias("Model"),
         F.lit(fitted.calibration).cast("string").alias("calibration"),
         F.lit(n_train).cast("bigint").alias("n_train"),
+        F.lit(frame.was_split).alias("was_split"),  # else the figures are those of the training rows
         "*",
     )
     return Trained(spec, fitted, predictions, row)
@@ -131,10 +132,16 @@ def train_models(
 
 def score_drivers(
     spark: SparkSession, training: str, summary_path: str, scores: str,
-    preview: str | None = None, manifests: str | None = None,
+    preview: str | None = None, manifests: str | None = None, models_dir: str | None = None,
 ) -> DataFrame:
-    """Load the best pair of models, write the risk scores, a preview and the manifest."""
-    best = monitoring.best_models(readers.read_model_summary(spark, summary_path)).first()
+    """Load the best pair of models, write the risk scores, a preview and the manifest.
+
+    Without a summary, or where it names no model of a kind, the default models below ``models_dir`` score.
+    """
+    summary = readers.optional(readers.read_model_summary, spark, summary_path)
+    if summary is None:
+        summary = spark.createDataFrame([], MODEL_SUMMARY)
+    best = monitoring.best_models(summary, models_dir).first()
     frequency = PipelineModel.load(best["frequency_artifact"])
     severity = PipelineModel.load(best["severity_artifact"])
     scored = scoring.score(readers.read_table(spark, training), frequency, severity)

@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 from milemark.functions.driving import event_date
 from milemark.operators import cleaning, features, ingest, trips
 from milemark.schemas import SILVER_EVENTS, SILVER_TRIPS, conform
+from milemark.session import store
 from milemark.sources import readers, writers
 
 
 def ingest_batch(requests: DataFrame, device_keys: DataFrame, bronze: str, dead_letters: str, **limits) -> DataFrame:
     """Classify requests once, write accepted events and dead letters; returns the classification."""
-    from milemark.session import store
-
     classified = store(ingest.classify(requests, device_keys, **limits), "classified")
     writers.write_bronze(ingest.accepted_events(classified), bronze, mode="append")
     writers.append_dead_letters(ingest.dead_letters(classified), dead_letters)
@@ -38,6 +37,9 @@ def clean(
     if check_heading:
         events = cleaning.heading_filter(events)
     events = cleaning.drop_bad_enums(events) if drop_invalid_enums else cleaning.remap_bad_enums(events)
+    if monotonic_odometer or sessions:
+        # these read their input twice (slices and their summaries): the deduplicated events are written once
+        events = store(events, "cleaned")
     if monotonic_odometer:
         events = trips.monotonic_odometer(events)
     if sessions:

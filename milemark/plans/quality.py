@@ -43,24 +43,27 @@ def training_report(training: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [rows, shares, statistics, means])
 
 
-def silver_quality(events: DataFrame) -> dict[str, DataFrame]:
-    """The Silver checks: violation counts, symbols found, nulls, profile and contract."""
+def silver_quality(events: DataFrame, parts: list[str] | None = None) -> dict[str, DataFrame]:
+    """The Silver checks, or the named ones: violation counts, illegal sources, symbols found, nulls, contract,
+    profile and correlations. Building the profile already reads the events, for the edges of its quantiles."""
     numeric = [
         c for c in ("lat", "lon", "speed_mps", "accel_mps2", "gyro", "heading", "odometer_km") if c in events.columns
     ]
-    return {
-        "violations": validation.silver_report(events),
-        "domains": validation.domain_report(events),
-        "nulls": validation.null_report(events),
-        "contract": validation.contract_report(events),
-        "profile": distribution.profile(events, numeric),
-        "correlations": distribution.correlations(events, numeric),
+    checks = {
+        "violations": lambda: validation.silver_report(events),
+        "sources": lambda: validation.illegal_sources(events),
+        "domains": lambda: validation.domain_report(events),
+        "nulls": lambda: validation.null_report(events),
+        "contract": lambda: validation.contract_report(events),
+        "profile": lambda: distribution.profile(events, numeric),
+        "correlations": lambda: distribution.correlations(events, numeric),
     }
+    return {name: make() for name, make in checks.items() if parts is None or name in parts}
 
 
-def gold_quality(features: DataFrame) -> DataFrame:
-    return validation.gold_rules(features)
-
-
-def training_quality(training: DataFrame, manifest: DataFrame) -> DataFrame:
-    return validation.training_consistency(training, manifest)
+def table_quality(features: DataFrame, training: DataFrame, manifest: DataFrame) -> dict[str, DataFrame]:
+    """The checks of the tables after Silver: rules of the features, and the training set against its manifest."""
+    return {
+        "rules": validation.gold_rules(features),
+        "training": validation.training_consistency(training, manifest),
+    }

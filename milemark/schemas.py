@@ -92,7 +92,7 @@ PREDICTIONS = _struct("row_id bigint, y_true double, y_pred double")
 
 MODEL_SUMMARY = _struct(
     """Model string, AUC double, PR double, Brier double, MAE double, RMSE double, R2 double,
-    config_hash string, run_time string, artifact string"""
+    config_hash string, run_time string, artifact string, was_split boolean"""
 )
 
 RISK_SCORES = _struct(

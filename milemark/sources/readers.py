@@ -24,15 +24,23 @@ def read_table(spark: SparkSession, *paths: str, schema: T.StructType | None = N
     return reader.parquet(*paths)
 
 
-def read_tree(spark: SparkSession, path: str, name_glob: str = "*.parquet") -> DataFrame:
-    """Every matching file at any depth below ``path``, folder names notwithstanding."""
+def read_tree(
+    spark: SparkSession, path: str, name_glob: str = "*.parquet", folder_glob: str | None = None
+) -> DataFrame:
+    """Every matching file at any depth below ``path``, folder names notwithstanding; or the files below the folders
+    that match ``folder_glob``, such as ``event_date=2024-*``, whose partition columns come back."""
+    if folder_glob is not None:
+        reader = spark.read.option("basePath", path).option("pathGlobFilter", name_glob)
+        return reader.parquet(f"{path}/{folder_glob}")
     return (
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob).parquet(path)
     )
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([*EVENTS.fields, T.StructField("_dlq_reason", T.StringType())])
+    """Dead letters: the known fields in their types, the reason, and the event as it came (``_original``)."""
+    extra = [T.StructField("_dlq_reason", T.StringType()), T.StructField("_original", T.StringType())]
+    schema = T.StructType([*EVENTS.fields, *extra])
     return spark.read.schema(schema).json(path)
 
 
