@@ -62,68 +62,87 @@ def _count_words(batches):
 
 
 def _count_grams(batches):
-    """(lang, size, gram, n) of counted words."""
+    """(lang, gram, n) of counted words."""
     for batch in batches:
         for begin in range(0, batch.num_rows, 50_000):
             part = batch.slice(begin, 50_000)
-            found: Counter = Counter()
+            held: dict[str, dict[str, int]] = {}
             for lang, word, n in zip(*(part.column(c).to_pylist() for c in ("lang", "word", "n"))):
+                found = held.setdefault(lang, {})
                 for size in range(1, LONGEST + 1):
                     for gram in _grams(word, size):
-                        found[lang, size, gram] += n
-            columns = list(zip(*found)) or [(), (), ()]
-            kinds = pa.string(), pa.int32(), pa.string()
+                        found[gram] = found.get(gram, 0) + n
+            langs = [lang for lang, found in held.items() for _ in found]
+            grams = [gram for found in held.values() for gram in found]
+            n = [k for found in held.values() for k in found.values()]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(found.values(), pa.int64())],
-                ["lang", "size", "gram", "n"],
+                [pa.array(langs, pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())], ["lang", "gram", "n"]
             )
 
 
+class _Table(dict):
+    """Key to row of a growing matrix of log frequencies by language; unknown keys are worked out when asked for, and
+    forgotten all together when there are too many."""
+
+    def __init__(self, keys: list[str], logs: np.ndarray, work_out):
+        super().__init__(zip(keys, range(len(keys))))
+        self.known, self.work_out = len(keys), work_out
+        self.logs = np.concatenate([logs, np.zeros((1024, logs.shape[1]), logs.dtype)])
+
+    def __missing__(self, key: str) -> int:
+        value = self.work_out(key)
+        row = len(self)
+        if row >= len(self.logs):
+            self.logs = np.concatenate([self.logs, np.zeros_like(self.logs)])
+        self.logs[row] = value
+        self[key] = row
+        return row
+
+    def trim(self) -> None:
+        if len(self) > self.known + MEMORY:
+            for key in list(self)[self.known :]:
+                del self[key]
+
+
 class Model:
-    """Log frequencies by language of words and n-grams."""
+    """Log frequencies by language of words and n-grams, as rows of two matrices."""
 
-    def __init__(self, languages: list[str], words: dict[str, list[int]], grams: dict[str, list[int]], totals: np.ndarray):
-        """``words`` and ``grams`` have counts by language; ``totals`` has rows for words and n-grams of each length."""
+    def __init__(self, languages: list[str], words: list[str], word_logs: np.ndarray, grams: list[str], gram_logs: np.ndarray):
         self.languages = languages
-        spread = lambda counts, total: np.log((np.asarray(counts, float) + 0.5) / (total + 0.5 * max(1, len(counts))))
-        self.tables = [{w: spread(c, totals[0]) for w, c in words.items()}]
-        for size in range(1, LONGEST + 1):
-            self.tables.append({g: spread(c, totals[size]) for g, c in grams.items() if len(g) == size})
-        self.unseen = np.zeros(len(languages))
-        self.memory: dict[str, np.ndarray] = {}
-
-    def _gram(self, gram: str) -> np.ndarray:
-        known = self.tables[len(gram)].get(gram)
-        if known is not None:
-            return known
+        self.words, self.word_logs, self.grams, self.gram_logs = words, word_logs, grams, gram_logs
+        self.by_gram = self.by_word = None
+
+    def _tables(self) -> None:
+        self.by_gram = _Table(self.grams, self.gram_logs, self._gram)
+        self.by_word = _Table(self.words, self.word_logs, self._word)
+
+    def _gram(self, gram: str) -> np.ndarray | float:
+        """An unknown n-gram is the mean of the two shorter ones inside it; an unknown character says nothing."""
         if len(gram) == 1:
-            return self.unseen
-        return (self._gram(gram[:-1]) + self._gram(gram[1:])) / 2
-
-    def word(self, word: str) -> np.ndarray:
-        known = self.tables[0].get(word)
-        if known is None:
-            known = self.memory.get(word)
-        if known is None:
-            size = min(LONGEST, len(word) + 2)
-            known = np.mean([self._gram(g) for g in _grams(word, size)], axis=0)
-            if len(self.memory) >= MEMORY:
-                self.memory.clear()
-            self.memory[word] = known
-        return known
+            return 0.0
+        shorter = [self.by_gram[gram[:-1]], self.by_gram[gram[1:]]]
+        return self.by_gram.logs[shorter].mean(axis=0)
+
+    def _word(self, word: str) -> np.ndarray:
+        rows = [self.by_gram[g] for g in _grams(word, min(LONGEST, len(word) + 2))]
+        return self.by_gram.logs[rows].mean(axis=0)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(WORD.findall((text or "").lower()))
         if not counts or not self.languages:
             return UNDECIDED, 0.0
-        logs = np.array([self.word(w) for w in counts])
-        total = np.array(list(counts.values()), float) @ logs
+        if self.by_word is None:
+            self._tables()
+        self.by_word.trim()
+        self.by_gram.trim()
+        rows = list(map(self.by_word.__getitem__, counts))
+        total = np.fromiter(counts.values(), float, len(rows)) @ self.by_word.logs[rows]
         best = int(np.argmax(total))
         return self.languages[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
 
-def _frequent(counts: DataFrame, key: str, most: int) -> list:
-    """Rows (key, lang, n) of the most frequent keys, ``most`` of them at most.
+def _frequent(counts: DataFrame, key: str, most: int) -> pa.Table:
+    """(key, lang, n) of the most frequent keys, ``most`` of them at most.
 
     The least frequency comes from a histogram of the totals in logarithmic steps (some thousand rows), so nothing is
     sorted or ranked in one place; keys of the step that would go beyond ``most`` stay out.
@@ -136,10 +155,17 @@ def _frequent(counts: DataFrame, key: str, most: int) -> list:
         if left < 0:
             break
         least = row["step"]
-    if least is None:
-        return []
-    top = totals.where(F.col("step") >= least).select(key)
-    return counts.join(top, key, "left_semi").select(key, "lang", "n").collect()
+    top = totals.where(F.col("step") >= F.lit(least)).select(key)
+    return counts.join(top, key, "left_semi").select(key, "lang", "n").toArrow()
+
+
+def log_rows(keys: list[str], places: list[int], n: list[int], totals: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Distinct keys, and by key the smoothed log share of each language's total; ``places`` are languages."""
+    rows: dict[str, int] = {}
+    at = [rows.setdefault(k, len(rows)) for k in keys]
+    counts = np.full((len(rows), len(totals)), 0.5)
+    np.add.at(counts, (at, places), n)
+    return list(rows), np.log(counts / (totals + 0.5 * max(1, len(rows)))).astype(np.float32)
 
 
 def train(docs: DataFrame, train_rows, max_words: int = 60_000, max_grams: int = 20_000) -> Model:
@@ -148,25 +174,25 @@ def train(docs: DataFrame, train_rows, max_words: int = 60_000, max_grams: int =
     rows = docs.where(train_rows).where("lang is not null and text is not null").select("lang", "text")
     counts = rows.mapInArrow(_count_words, "lang string, word string, n long")
     words = scratch.keep(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    grams = words.mapInArrow(_count_grams, "lang string, size int, gram string, n long")
-    grams = scratch.keep(grams.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")), "grams")
+    grams = words.mapInArrow(_count_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = scratch.keep(grams, "grams")
+    size = F.char_length("gram")
     sums = {(0, row.lang): row.n for row in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    sums |= {(row["size"], row.lang): row.n for row in grams.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
+    sums |= {(row[0], row.lang): row.n for row in grams.groupBy(size, "lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted({lang for _, lang in sums})
     place = {lang: i for i, lang in enumerate(languages)}
-    totals = np.array([[sums.get((size, lang), 0) for lang in languages] for size in range(LONGEST + 1)], float)
 
-    def tabled(found) -> dict[str, list[int]]:
-        table: dict[str, list[int]] = {}
-        for key, lang, n in found:
-            table.setdefault(key, [0] * len(languages))[place[lang]] = n
-        return table
+    def logs(counts: DataFrame, key: str, most: int, kind: int) -> tuple[list[str], np.ndarray]:
+        found = _frequent(counts, key, most)
+        totals = np.array([sums.get((kind, lang), 0) for lang in languages], float)
+        places = [place[lang] for lang in found.column("lang").to_pylist()]
+        return log_rows(found.column(key).to_pylist(), places, found.column("n").to_pylist(), totals)
 
-    chosen = [_frequent(grams.where(F.col("size") == size), "gram", max_grams) for size in range(1, LONGEST + 1)]
-    model = Model(languages, tabled(_frequent(words, "word", max_words)), tabled(sum(chosen, [])), totals)
+    known = logs(words, "word", max_words, 0)
+    parts = [logs(grams.where(size == n), "gram", max_grams, n) for n in range(1, LONGEST + 1)]
     scratch.drop(words)
     scratch.drop(grams)
-    return model
+    return Model(languages, *known, sum((p[0] for p in parts), []), np.concatenate([p[1] for p in parts]))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

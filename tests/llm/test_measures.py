@@ -102,17 +102,31 @@ def test_risk_stays_non_negative():
 
 
 def test_language_backoff():
-    totals = np.array([[100, 100], [100, 100], [100, 100], [100, 100], [100, 100]], float)
-    grams = {"a": [50, 50], "b": [1, 50], " a": [9, 1], "abc": [40, 0]}
-    model = language_id.Model(["x", "y"], {"known": [5, 1]}, grams, totals)
+    totals = np.array([100.0, 100.0])
+    keys = ["a", "a", "b", "b", " a", " a", "abc"]
+    grams, gram_logs = language_id.log_rows(keys, [0, 1, 0, 1, 0, 1, 0], [50, 50, 1, 50, 9, 1, 40], totals)
+    words, word_logs = language_id.log_rows(["known", "known"], [0, 1], [5, 1], totals)
+    assert np.allclose(word_logs[0], np.log([5.5 / 100.5, 1.5 / 100.5]))
+    model = language_id.Model(["x", "y"], words, word_logs, grams, gram_logs)
     assert model.predict("known")[0] == "x"
-    assert np.allclose(model.word("abc"), np.mean([model._gram(g) for g in (" abc", "abc ")], axis=0))
+    gram = lambda g: model.by_gram.logs[model.by_gram[g]]
+    word = lambda w: model.by_word.logs[model.by_word[w]]
+    assert np.allclose(word("abc"), np.mean([gram(" abc"), gram("abc ")], axis=0))
     # an unknown n-gram is the mean of the two shorter ones inside it
-    assert np.allclose(model._gram(" abc"), (model._gram(" ab") + model.tables[3]["abc"]) / 2)
+    assert np.allclose(gram(" abc"), (gram(" ab") + gram_logs[grams.index("abc")]) / 2)
+    assert np.allclose(gram("qb"), (0 + gram_logs[grams.index("b")]) / 2)
     assert model.predict("qq zz")[0] == "x"  # a tie goes to the first
     assert model.predict("12 !?") == ("und", 0.0) and model.predict(None) == ("und", 0.0)
 
 
+def test_forgotten_words_are_worked_out_again(monkeypatch):
+    monkeypatch.setattr(language_id, "MEMORY", 5)
+    logs = np.array([[-1.0, -2.0]], np.float32)
+    model = language_id.Model(["x", "y"], ["k"], logs, ["q"], logs)
+    first = [model.predict(f"q{c}q k") for c in "abcdefghij"]
+    assert first == [model.predict(f"q{c}q k") for c in "abcdefghij"] and len(model.by_word) < 9
+
+
 def test_language_on_held_out_rows(spark, small, messy, clashing):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -129,4 +143,5 @@ def test_language_on_held_out_rows(spark, small, messy, clashing):
 
 def test_bounded_vocabulary(messy):
     model = language_id.train(messy, F.lit(True), max_words=40, max_grams=10)
-    assert 0 < len(model.tables[0]) <= 40 and all(len(t) <= 10 for t in model.tables[1:])
+    assert 0 < len(model.words) <= 40
+    assert all(sum(len(g) == n for g in model.grams) <= 10 for n in range(1, 5))
