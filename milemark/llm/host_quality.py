@@ -101,11 +101,12 @@ def measure(
     return docs.select(*columns).mapInArrow(run, schema)
 
 
-def host_rates(measures: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
+def host_rates(measures: DataFrame, rules: dict[str, str] = RULES, least_strength: float = 2.0) -> DataFrame:
     """By host and rule: documents ``n``, ``failures`` and the ``shrunk`` rate under the fitted beta prior.
 
     With K hosts, N documents, overall rate m and between-host variance v by moments, the prior has the strength
-    s = m (1 - m) / v - 1 and the shrunk rate is (failures + s m) / (n + s); without excess variance it is m.
+    s = m (1 - m) / v - 1, ``least_strength`` at least, and the shrunk rate is (failures + s m) / (n + s); without
+    excess variance it is m.
     """
     counts = measures.where("host is not null").groupBy("host").agg(
         F.count("*").alias("n"), *[F.count_if(F.expr(rule)).alias(name) for name, rule in rules.items()]
@@ -124,10 +125,11 @@ def host_rates(measures: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
              greatest((weighted - docs * m * m - (hosts - 1) * m * (1 - m)) / (docs - squares / docs), 0D)
            else 0D end as v""",
     )
-    return long.join(F.broadcast(total), "rule").selectExpr(  # one row for each rule
+    strength = f"greatest(m * (1 - m) / v - 1, {least_strength}D)"
+    # one row for each rule
+    return long.join(F.broadcast(total), "rule").selectExpr(
         "host", "rule", "n", "failures",
-        """case when v <= 0 then m else (failures + greatest(m * (1 - m) / v - 1, 0D) * m)
-             / (n + greatest(m * (1 - m) / v - 1, 0D)) end as shrunk""",
+        f"case when v <= 0 then m else (failures + {strength} * m) / (n + {strength}) end as shrunk",
     )
 
 
@@ -136,8 +138,10 @@ def judge(
 ) -> DataFrame:
     """One row per document: the id column, the measures, ``base_failed``, ``host_rate`` (the host's worst shrunk
     rate), ``host_rejected`` and ``kept``."""
-    measures = Scratch(docs.sparkSession).keep(measure(docs, id_col, text_col, host_col), "measures")
-    worst = host_rates(measures).groupBy("host").agg(F.max("shrunk").alias("host_rate"))
+    scratch = Scratch(docs.sparkSession)
+    measures = scratch.keep(measure(docs, id_col, text_col, host_col), "measures")
+    # written, so that its size is known: few hosts are broadcast, else a hot host's rows are split by the join
+    worst = scratch.keep(host_rates(measures).groupBy("host").agg(F.max("shrunk").alias("host_rate")), "hosts")
     failed = F.expr(" or ".join(f"({RULES[rule]})" for rule in BASE))
     rejected = F.coalesce(F.col("host_rate") > max_rate, F.lit(False))
     judged = measures.join(worst, "host", "left").withColumns({"base_failed": failed, "host_rejected": rejected})
