@@ -27,7 +27,7 @@ from milemark.llm.line_dedup import LOWER, UPPER
 
 #: What separates words, after lower-casing; and the same where A-Z are still there.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_OR_UPPER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+GAPS_BETWEEN_UPPER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -35,7 +35,8 @@ def words(text: Column) -> Column:
 
 
 def count_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD_OR_UPPER)), F.lit(0)).cast("long")
+    cut = F.split(F.coalesce(text, F.lit("")), GAPS_BETWEEN_UPPER, -1)  # several times faster than regexp_count
+    return F.size(F.array_remove(cut, "")).cast("long")
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
