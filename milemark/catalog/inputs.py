@@ -57,7 +57,7 @@ ARRIVALS = """
 SELECT event_id AS arrival_no,
   CASE WHEN event_id % 9 = 8 THEN event_id - 4 ELSE event_id END AS event_id,
   concat('driver_', lpad(cast(user_id % 3 as {S}), 5, '0')) AS driver_id,
-  event_id*10 + cast(floor(event_id / 100) as bigint)*3000 AS arrival_ms
+  event_id*10 + cast(floor(event_id / 1000) as bigint)*3700 AS arrival_ms
 FROM {events}
 """
 
@@ -97,11 +97,11 @@ SELECT concat('model_', event_type) AS name, concat('v', cast(user_id as {S})) A
 FROM {events}
 """
 
-# Requests to the ingest path: three drivers (one without device), repeated ids, bursts above the rate
-# limit, every failure a validation can report, and some broken, mistyped or forged requests.
+# Requests to the ingest path: three drivers (one without device), repeated ids, floods of ten seconds above
+# the rate limit whose period does not divide the limiter's slices of a minute, every failure a validation can report, and some broken, mistyped or forged requests.
 REQUEST_EVENTS = """
 SELECT event_id AS arrival_no,
-  1700000000000 + event_id*10 + cast(floor(event_id / 100) as bigint)*3000 AS arrival_ms,
+  1700000000000 + event_id*10 + cast(floor(event_id / 1000) as bigint)*3700 AS arrival_ms,
   concat('ev-', cast(CASE WHEN event_id % 9 = 8 THEN event_id - 4 ELSE event_id END as {S})) AS event_id,
   concat('driver_', lpad(cast(user_id % 3 as {S}), 5, '0')) AS driver_id,
   concat('trip_', cast(user_id as {S})) AS trip_id,

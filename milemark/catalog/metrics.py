@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from milemark.catalog import inputs
-from milemark.catalog.registry import query, r, rounded, training, with_ctes
+from milemark.catalog.registry import CTES, query, r, rounded, training, with_ctes
 from milemark.operators import labels, metrics
 from milemark.operators.metrics import _poisson_steps
 
@@ -172,6 +172,22 @@ def _bootstrap_query(name: str, metric: str) -> None:
         return rounded(metrics.bootstrap_interval(inputs.class_preds(spark, sf), metric), 8)
 
 
+CTES["continuous_preds"] = (
+    ["reg_preds"],
+    "SELECT row_id, (row_id % 7 < 2)::int::double AS y_true, y_pred FROM reg_preds ",
+)
+
+
+@query(
+    "ag26_bootstrap_auc_continuous",
+    with_ctes(sql_bootstrap("AUC").replace("class_preds", "continuous_preds"), "continuous_preds"),
+)
+def bootstrap_continuous(spark, sf):
+    """Scores that hardly ever repeat."""
+    rows = inputs.reg_preds(spark, sf).select("row_id", (F.col("row_id") % 7 < 2).cast("double").alias("y_true"), "y_pred")
+    return rounded(metrics.bootstrap_interval(rows, "AUC"), 8)
+
+
 _bootstrap_query("ag26_bootstrap_auc", "AUC")
 _bootstrap_query("ag26_bootstrap_pr", "PR")
 _bootstrap_query("ag26_bootstrap_brier", "Brier")

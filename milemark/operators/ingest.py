@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,30 +54,39 @@ def classify(
     limit: int = MAX_EVENTS_PER_WINDOW,
     window_ms: int = WINDOW_MS,
     rate_limited: bool = True,
+    seen: DataFrame | None = None,
+    recent: DataFrame | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] = store,
 ) -> DataFrame:
     """Add ``outcome`` and ``reason`` to requests (arrival_no, arrival_ms, body, signature).
 
     The stages exclude each other in this order: malformed, unauthorised, duplicate, over the rate
     limit, failing validation, accepted. An id counts as seen even if its event fails later.
-    Parsed and authenticated events are written once; the later stages read only the columns they need.
+    An arrival without id is no duplicate; it fails validation. ``seen`` (event_id) and ``recent``
+    (driver_id and arrival time of arrivals within the limit) carry on from earlier requests.
+
+    Parsed and authenticated events are written once, and so are the narrow candidates with their
+    duplicate marks and the flags of those that were turned away (by ``keep``, which the caller may
+    use to delete them after the job).
     """
-    known = store(authenticate(parse_events(requests), device_keys), "requests")
+    known = keep(authenticate(parse_events(requests), device_keys), "requests")
     order = [arrival_ms, arrival_no]
 
     candidates = known.filter(F.col("is_json") & F.col("is_authorized")).select(
         *order, "event_id", "driver_id"
     )
-    seen = mark_duplicates(candidates, order)
-    flags = seen.filter("is_duplicate").select(F.col(arrival_no).alias("_no"), F.lit("DUPLICATE_EVENT").alias("_flag"))
+    marked = keep(mark_duplicates(candidates, order, seen=seen), "candidates")
+    flags = marked.filter("is_duplicate").select(F.col(arrival_no).alias("_no"), F.lit("DUPLICATE_EVENT").alias("_flag"))
     if rate_limited:
         admitted = rate_limit(
-            seen.filter(~F.col("is_duplicate")).select(*order, "driver_id"),
-            "driver_id", arrival_ms, [arrival_no], limit, window_ms,
+            marked.filter(~F.col("is_duplicate")).select(*order, "driver_id"),
+            "driver_id", arrival_ms, [arrival_no], limit, window_ms, recent=recent,
         )
         over = admitted.filter(~F.col("accepted"))
         flags = flags.unionByName(
             over.select(F.col(arrival_no).alias("_no"), F.lit("RATE_LIMIT_EXCEEDED").alias("_flag"))
         )
+    flags = keep(flags, "flags")
     flagged = known.join(flags, known[arrival_no] == flags["_no"], "left").drop("_no")
     reason = (
         F.when(~F.col("is_json"), F.lit("INVALID_JSON"))
@@ -99,7 +110,8 @@ def accepted_events(classified: DataFrame) -> DataFrame:
 
 
 def dead_letters(classified: DataFrame) -> DataFrame:
-    """Events that failed validation, with the reason; other outcomes leave no dead letter."""
+    """Events that failed validation, with the reason and the body as it came: values that did not fit
+    and fields outside the contract are in there. Other outcomes leave no dead letter."""
     return classified.filter("outcome = 'REJECTED'").select(
-        *[f.name for f in EVENTS.fields], F.col("reason").alias("_dlq_reason")
+        *[f.name for f in EVENTS.fields], F.col("reason").alias("_dlq_reason"), F.col("body").alias("_original")
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -188,15 +190,139 @@ def _poisson_steps() -> list[float]:
     return [*steps, total]
 
 
-def with_resample_weight(rows: DataFrame, key: str, seed: int) -> DataFrame:
-    """Add ``w``, how often a row is drawn in its replicate: Poisson(1) from a hash of both."""
-    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("replicate").cast("string"), F.lit(str(seed))))
-    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
-    draws = F.lit(0)
-    for step in _poisson_steps():
-        draws = draws + (F.col("_u") >= step).cast("int")
-    # rows drawn zero times stay: they add nothing, and a filter on ``w`` would compute the hash again
-    return rows.withColumn("_u", u).withColumn("w", draws).drop("_u")
+def resample_weights(keys: list[str], replicates: int, seed: int) -> np.ndarray:
+    """How often each row is drawn in each replicate, rows by replicates: Poisson(1) from a hash of both."""
+    from hashlib import md5
+
+    steps = np.array(_poisson_steps())
+    tails = [f"|{i}|{seed}".encode() for i in range(1, replicates + 1)]
+    heads = [k.encode() for k in keys]
+    digits = [int(md5(head + tail).hexdigest()[:13], 16) for head in heads for tail in tails]
+    u = (np.array(digits, float) + 0.5) / float(16**13)
+    return np.searchsorted(steps, u, side="right").reshape(len(keys), replicates)
+
+
+#: Rows whose weights are held at a time.
+_CHUNK = 512
+
+
+def _chunks(batches, replicates: int, seed: int):
+    """(arrays of the columns but the key, weights) of a few rows at a time."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, _CHUNK):
+            part = batch.slice(begin, _CHUNK)
+            columns = {n: part.column(n).to_numpy(zero_copy_only=False) for n in part.schema.names if n != "_key"}
+            yield columns, resample_weights(part.column("_key").to_pylist(), replicates, seed)
+
+
+def _long_rows(names: list[str], bucket: int, *figures: np.ndarray) -> pa.RecordBatch:
+    n = len(figures[0])
+    columns = [np.full(n, bucket), np.arange(1, n + 1), *(np.asarray(f, float) for f in figures)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+
+_POINT_SCHEMA = "place long, replicate long, tp double, fp double, extra double"
+_POINT = ["place", "replicate", "tp", "fp", "extra"]
+
+
+def _placed(rows: DataFrame, edges: list[float]) -> DataFrame:
+    """Add ``_place``: odd numbers are the open spans between edges, even ones the edges themselves, in order.
+
+    A score that very many rows share is an edge, so a span never holds one.
+    """
+    placed = with_bucket(rows, "y_pred", edges)
+    if not edges:
+        return placed.withColumn("_place", F.lit(1)).drop("_bucket")
+    at_edge = F.coalesce(F.get(F.array(*map(F.lit, edges)), F.col("_bucket") - 1) == F.col("y_pred"), F.lit(False))
+    return placed.withColumn("_place", 2 * F.col("_bucket") + F.when(at_edge, 0).otherwise(1)).drop("_bucket")
+
+
+def _place_sums(placed: DataFrame, replicates: int, seed: int) -> DataFrame:
+    """(place, replicate, tp, fp): weights of positives and negatives, summed per task before any shuffle."""
+
+    def add(batches):
+        held: dict[int, np.ndarray] = {}
+        for c, w in _chunks(batches, replicates, seed):
+            for place in np.unique(c["_place"]).tolist():
+                here = c["_place"] == place
+                sums = held.setdefault(place, np.zeros((2, replicates)))
+                sums[0] += w[here & c["_positive"]].sum(axis=0)
+                sums[1] += w[here & ~c["_positive"]].sum(axis=0)
+        for place, sums in held.items():
+            yield _long_rows(_POINT, place, *sums, np.zeros(replicates))
+
+    return placed.mapInArrow(add, _POINT_SCHEMA).groupBy("place", "replicate").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+
+
+def _span_sums(placed: DataFrame, replicates: int, seed: int, before: dict[int, np.ndarray] | None) -> DataFrame:
+    """(place, replicate, extra) of the open spans: the area under the ROC curve inside the span alone, or with the
+    weights ``before`` each span (tp and fp by replicate) the summed precision of its positives.
+
+    Every row is shuffled once; a task sees the rows of a span from the highest score down.
+    """
+    shared = None if before is None else placed.sparkSession.sparkContext.broadcast(before)
+
+    def add(batches):
+        place, score = None, None
+        group = total = extra = None
+
+        def close_score():
+            if shared is None:
+                extra[:] += group[1] * (total[0] + group[0] / 2)
+            else:
+                tp, fp = total[0] + group[0] + shared.value[place][0], total[1] + group[1] + shared.value[place][1]
+                extra[:] += np.divide(group[0] * tp, tp + fp, out=np.zeros(replicates), where=tp + fp > 0)
+            total[:] += group
+
+        for c, w in _chunks(batches, replicates, seed):
+            new = np.flatnonzero((c["_place"][1:] != c["_place"][:-1]) | (c["y_pred"][1:] != c["y_pred"][:-1])) + 1
+            for begin, end in zip([0, *new], [*new, len(w)], strict=True):
+                if place != c["_place"][begin] or score != c["y_pred"][begin]:
+                    if place is not None:
+                        close_score()
+                    if place != c["_place"][begin]:
+                        if place is not None:
+                            yield _long_rows(_POINT, place, *total, extra)
+                        place, total, extra = int(c["_place"][begin]), np.zeros((2, replicates)), np.zeros(replicates)
+                    score, group = c["y_pred"][begin], np.zeros((2, replicates))
+                positive = c["_positive"][begin:end]
+                group[0] += w[begin:end][positive].sum(axis=0)
+                group[1] += w[begin:end][~positive].sum(axis=0)
+        if place is not None:
+            close_score()
+            yield _long_rows(_POINT, place, *total, extra)
+
+    spans = placed.filter("_place % 2 = 1").repartition("_place").sortWithinPartitions("_place", F.desc("y_pred"))
+    return spans.mapInArrow(add, _POINT_SCHEMA)
+
+
+def _bootstrap_ranking(rows: DataFrame, metric: str, replicates: int, seed: int) -> DataFrame:
+    placed = _placed(rows, value_edges(rows, ["y_pred"])["y_pred"]).withColumn("_positive", F.col("y_true") > 0).drop("y_true")
+    # one row for each place and replicate from here on
+    higher = Window.partitionBy("replicate").orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = _place_sums(placed, replicates, seed).withColumns(
+        {f"{c}_before": F.coalesce(F.sum(c).over(higher), F.lit(0.0)) for c in ("tp", "fp")}
+    )
+    before = None
+    if metric == "PR":
+        before = {}
+        for row in sums.filter("place % 2 = 1").select("place", "replicate", "tp_before", "fp_before").collect():
+            held = before.setdefault(row[0], np.zeros((2, replicates)))
+            held[:, row[1] - 1] = row[2], row[3]
+    inside = _span_sums(placed, replicates, seed, before).select(
+        F.col("place").alias("_s_place"), F.col("replicate").alias("_s_replicate"), "extra"
+    )
+    same = (F.col("place") == F.col("_s_place")) & (F.col("replicate") == F.col("_s_replicate"))
+    joined = sums.join(inside, same, "left")
+    tp, fp = F.col("tp"), F.col("fp")
+    if metric == "AUC":
+        own = F.coalesce("extra", fp * tp / 2)  # at an edge, all scores are equal
+        value = F.try_divide(F.sum(own + fp * F.col("tp_before")), F.sum("tp") * F.sum("fp"))
+    else:
+        all_tp = F.col("tp_before") + tp
+        own = F.coalesce("extra", F.try_divide(tp * all_tp, all_tp + F.col("fp_before") + fp), F.lit(0.0))
+        value = F.try_divide(F.sum(own), F.sum("tp"))
+    return joined.groupBy("replicate").agg(value.alias("value"))
 
 
 def bootstrap_metric(
@@ -208,25 +334,29 @@ def bootstrap_metric(
 ) -> DataFrame:
     """(replicate, value): the metric (AUC, PR, Brier, MAE or RMSE) on each resample.
 
-    Rows fan out to their replicates and are summed up again before any shuffle.
+    Rows do not fan out to their replicates: a task holds the weights of a few rows for all replicates and
+    sums them up. Means need no shuffle of rows; ranking metrics shuffle each row once, by spans of scores.
     """
-    # spread first: a small table in one file would otherwise fan out in one task
-    spread = predictions.select("y_true", "y_pred", key).repartition(bucket_count(predictions))
-    fanned = with_resample_weight(
-        spread.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates)))), key, seed
-    )
+    rows = scored(predictions).select(
+        F.col("y_true").cast("double").alias("y_true"), F.col("y_pred").cast("double").alias("y_pred"),
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key"),
+    )
     if metric in ("AUC", "PR"):
-        edges = value_edges(predictions, ["y_pred"])["y_pred"]
-        table = _score_table(fanned, by=["replicate"], weight=F.col("w"), edges=edges)
-        value = _auc() if metric == "AUC" else _average_precision()
-        return table.groupBy("replicate").agg(value.alias("value"))
-    error = F.col("y_true") - F.col("y_pred")
-    mean = {
-        "Brier": lambda: F.try_divide(F.sum(F.col("w") * error * error), F.sum("w")),
-        "MAE": lambda: F.try_divide(F.sum(F.col("w") * F.abs(error)), F.sum("w")),
-        "RMSE": lambda: F.sqrt(F.try_divide(F.sum(F.col("w") * error * error), F.sum("w"))),
-    }[metric]
-    return fanned.groupBy("replicate").agg(mean().alias("value"))
+        return _bootstrap_ranking(rows, metric, replicates, seed)
+    if metric not in ("Brier", "MAE", "RMSE"):
+        raise ValueError(f"unknown metric {metric!r}")
+
+    def add(batches):
+        sums = np.zeros((2, replicates))
+        for c, w in _chunks(batches, replicates, seed):
+            error = np.abs(c["y_true"] - c["y_pred"])
+            sums += (error if metric == "MAE" else error**2) @ w, w.sum(axis=0)
+        yield _long_rows(_POINT, 0, *sums, np.zeros(replicates))
+
+    spread = rows.repartition(bucket_count(rows))  # a small table in one file would be one task of many hashes
+    mean = F.try_divide(F.sum("tp"), F.sum("fp"))
+    found = spread.mapInArrow(add, _POINT_SCHEMA).groupBy("replicate")
+    return found.agg((F.sqrt(mean) if metric == "RMSE" else mean).alias("value"))
 
 
 def bootstrap_interval(
@@ -246,7 +376,7 @@ def bootstrap_interval(
         F.percentile("value", F.lit(0.025)).alias("lower"),  # over ``replicates`` values
         F.percentile("value", F.lit(0.975)).alias("upper"),
     )
-    n = predictions.agg(F.count(F.lit(1)).alias("rows")).scalar()
+    n = scored(predictions).agg(F.count(F.lit(1)).alias("rows")).scalar()
     enough = n >= MIN_BOOTSTRAP_ROWS
     return interval.select(
         F.lit(metric).alias("metric"),

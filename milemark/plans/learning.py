@@ -61,13 +61,10 @@ def evaluate(predictions: DataFrame, kind: str, intervals: bool = False) -> Data
     row = row.withColumnRenamed("n", "n_test")
     if intervals:
         for name in bounded:
-            interval = metrics.bootstrap_interval(predictions, name)
-            row = row.withColumns(
-                {
-                    f"{name}_CI_low": interval.select("lower").scalar(),
-                    f"{name}_CI_high": interval.select("upper").scalar(),
-                }
-            )
+            both = metrics.bootstrap_interval(predictions, name).select(F.struct("lower", "upper").alias("both"))
+            row = row.withColumn("_ends", both.scalar())  # one subquery for both ends
+            row = row.withColumns({f"{name}_CI_low": F.col("_ends.lower"), f"{name}_CI_high": F.col("_ends.upper")})
+            row = row.drop("_ends")
     return row
 
 

@@ -13,11 +13,21 @@ from milemark.session import store
 from milemark.sources import readers, writers
 
 
-def ingest_batch(requests: DataFrame, device_keys: DataFrame, bronze: str, dead_letters: str, **limits) -> DataFrame:
-    """Classify requests once, write accepted events and dead letters; returns the classification."""
-    classified = store(ingest.classify(requests, device_keys, **limits), "classified")
-    writers.write_bronze(ingest.accepted_events(classified), bronze, mode="append")
-    writers.append_dead_letters(ingest.dead_letters(classified), dead_letters)
+def ingest_batch(
+    requests: DataFrame, device_keys: DataFrame, bronze: str, dead_letters: str, batch: str | None = None, **limits
+) -> DataFrame:
+    """Classify requests once, write accepted events and dead letters; returns the classification.
+
+    With a name for the ``batch`` its files get folders of their own, which a repeated run replaces; without
+    one they are appended.
+    """
+    classified = ingest.classify(requests, device_keys, **limits)
+    if batch is None:
+        writers.write_bronze(ingest.accepted_events(classified), bronze, mode="append")
+        writers.append_dead_letters(ingest.dead_letters(classified), dead_letters)
+    else:
+        writers.write_bronze(ingest.accepted_events(classified), f"{bronze}/batch={batch}")
+        ingest.dead_letters(classified).write.mode("overwrite").json(f"{dead_letters}/batch={batch}")
     return classified
 
 

@@ -70,3 +70,23 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables written to the shared folder for the time of a job: ``with Scratch(spark) as scratch`` deletes them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        for path in map(self.spark._jvm.org.apache.hadoop.fs.Path, self.paths):
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,8 +1,9 @@
-"""The ingest path as Structured Streaming: the same stages, with state kept by Spark.
+"""The ingest path as Structured Streaming.
 
 Requests arrive as files (or any other streaming source) with the columns arrival_no, arrival_ms,
-body and signature. State lives in checkpointed state stores, so it survives lost executors and
-restarts, and scales with the number of shuffle partitions.
+body and signature. ``ingest_stream`` runs the operators of the batch path on each micro-batch and keeps
+what they must remember in tables by micro-batch, so it survives lost executors and restarts;
+``limit_rate_stream`` is the rate limit alone.
 """
 
 from __future__ import annotations
@@ -10,14 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.query import StreamingQuery
 
 from milemark.functions.driving import instant
-from milemark.operators.arrivals import MAX_EVENTS_PER_WINDOW, WINDOW_MS
-from milemark.operators.ingest import authenticate, parse_events
-from milemark.operators.validation import OK, failure_reason
-from milemark.schemas import EVENTS
+from milemark.operators import ingest, monitoring
+from milemark.operators.arrivals import MAX_EVENTS_PER_WINDOW, WINDOW_MS, rate_limit
+from milemark.session import Scratch
+from milemark.sources import readers
 
 REQUESTS = T.StructType(
     [
@@ -28,9 +28,6 @@ REQUESTS = T.StructType(
     ]
 )
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def request_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """New JSON-lines files below ``path``, with the arrival as event time."""
     return (
@@ -41,137 +38,110 @@ def request_stream(spark: SparkSession, path: str, max_files_per_trigger: int =
     )
 
 
-def drop_repeated_events(stream: DataFrame, remember: str = "1 hour", at: str = "arrived_at") -> DataFrame:
-    """First copy of each event id. Ids are forgotten after ``remember`` of event time: a bound in
-    time, since a bound in the number of ids cannot be kept over many tasks."""
-    return stream.withWatermark(at, remember).dropDuplicatesWithinWatermark(["event_id"])
-
-
-def _rate_limiter(limit: int, window_ms: int, out: T.StructType, key: str, at: str, order: list[str]):
-    """A processor class made on demand, so that Spark ships it by value."""
-
-    class RateLimiter(StatefulProcessor):
-        def init(self, handle) -> None:
-            state = T.StructType([T.StructField("accepted_ms", T.LongType())])
-            self.recent = handle.getListState("recent", state)
-
-        def handleInputRows(self, key_value, rows, timer_values):
-            from collections import deque
-
-            import pandas as pd
-
-            batch = pd.concat(list(rows), ignore_index=True).sort_values([at, *order], kind="stable")
-            recent = deque(sorted(value[0] for value in self.recent.get()))
-            verdicts = []
-            for t in batch[at]:
-                while recent and recent[0] < t - window_ms:
-                    recent.popleft()
-                ok = len(recent) < limit
-                if ok:
-                    recent.append(int(t))
-                verdicts.append(ok)
-            # the limit bounds the state: at most ``limit`` instants per driver
-            if recent:
-                self.recent.put([(t,) for t in recent])
-            else:
-                self.recent.clear()
-            batch["accepted"] = verdicts
-            yield batch[out.names]
-
-        def close(self) -> None:
-            pass
-
-    return RateLimiter()
-
-
-def limit_rate(
-    stream: DataFrame,
-    key: str = "driver_id",
-    at: str = "arrival_ms",
-    order: list[str] = ["arrival_no"],
-    limit: int = MAX_EVENTS_PER_WINDOW,
-    window_ms: int = WINDOW_MS,
-) -> DataFrame:
-    """Add ``accepted`` to narrow rows (key, at, order…); micro-batches must not overlap in time.
-
-    One driver's rows of one micro-batch are decided together, in order; the trigger's size bounds them.
-    """
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    out = T.StructType([*stream.schema.fields, T.StructField("accepted", T.BooleanType())])
-    return stream.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=_rate_limiter(limit, window_ms, out, key, at, order),
-        outputStructType=out,
-        outputMode="Append",
-        timeMode="None",
-    )
+def _still_recent(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
+    """Arrivals (driver_id, arrival_ms) within the limit that the micro-batch before left behind."""
+    if batch_id == 0:
+        return None
+    schema = "driver_id string, arrival_ms long"
+    return readers.optional(spark.read.schema(schema).parquet, f"{base}/recent/batch={batch_id - 1}")
 
 
-def admitted_events(requests: DataFrame, device_keys: DataFrame, remember: str = "1 hour") -> DataFrame:
-    """Streaming parse → authenticate → deduplicate → rate limit → validate.
+def _write_recent(passed: DataFrame, recent: DataFrame | None, base: str, batch_id: int, window_ms: int) -> None:
+    """Only the last window can matter later: silent drivers are forgotten with it."""
+    passed = passed.select("driver_id", "arrival_ms")
+    if recent is not None:
+        passed = passed.unionByName(recent)
+    last = passed.agg(F.max("arrival_ms")).scalar()
+    passed.filter(F.col("arrival_ms") >= last - window_ms).write.mode("overwrite").parquet(f"{base}/recent/batch={batch_id}")
 
-    Rows that reach validation carry ``reason``; rows over the rate limit carry RATE_LIMIT_EXCEEDED.
-    """
-    parsed = authenticate(parse_events(requests), device_keys)
-    known = parsed.filter(F.col("is_json") & F.col("is_authorized"))
-    first = drop_repeated_events(known, remember)
-    carried = ["arrival_no", "arrival_ms", "body", "driver_id"]
-    decided = limit_rate(first.select(*carried))
-    # the body travels through the limiter as text; parsing it again is cheaper than the Python copy
-    events = parse_events(decided.select("arrival_no", "arrival_ms", "body", "accepted"))
-    reason = F.when(~F.col("accepted"), F.lit("RATE_LIMIT_EXCEEDED")).otherwise(failure_reason(events.columns))
-    return events.withColumn("reason", reason).drop("body", "is_json", "_schema_ok", "accepted")
-
-
-def write_routed(
-    admitted: DataFrame, bronze: str, dead_letters: str, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Two sinks per micro-batch. A batch writes into folders named after it, so that repeating it
-    after a failure replaces its files instead of adding to them."""
-    columns = [f.name for f in EVENTS.fields]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            good = batch.filter(F.col("reason") == OK).select(*columns)
-            good.write.mode("overwrite").parquet(f"{bronze}/batch={batch_id}")
-            bad = batch.filter(~F.col("reason").isin(OK, "RATE_LIMIT_EXCEEDED"))
-            bad.select(*columns, F.col("reason").alias("_dlq_reason")).write.mode("overwrite").json(
-                f"{dead_letters}/batch={batch_id}"
-            )
-        finally:
-            batch.unpersist()
+
+def limit_rate_stream(
+    arrivals: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
+    limit: int = MAX_EVENTS_PER_WINDOW, window_ms: int = WINDOW_MS,
+) -> StreamingQuery:
+    """The rate limit alone, over narrow rows (arrival_no, arrival_ms, driver_id): ``decided`` below ``base`` holds them
+    with ``accepted``, by micro-batch. The state is the last window's accepted arrivals."""
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        recent = _still_recent(batch.sparkSession, base, batch_id)
+        folder = f"{base}/decided/batch={batch_id}"
+        decided = rate_limit(batch, limit=limit, window_ms=window_ms, recent=recent)
+        decided.write.mode("overwrite").parquet(folder)
+        written = batch.sparkSession.read.schema(decided.schema).parquet(folder)
+        _write_recent(written.filter("accepted"), recent, base, batch_id, window_ms)
 
     return (
-        admitted.writeStream.foreachBatch(write)
+        arrivals.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
-def write_bronze_stream(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Flush events to Parquet as they come; ``availableNow`` flushes what is there and stops."""
+def take_micro_batch(
+    requests: DataFrame, device_keys: DataFrame, base: str, batch_id: int, remember_ms: int | None = None,
+    window_ms: int = WINDOW_MS, **limits,
+) -> None:
+    """Classify one micro-batch with the operators of the batch path, and carry their state on.
+
+    Every request gets an outcome, late ones and those without an id included. Written below ``base``, in
+    folders named after the batch so that repeating it replaces its files: ``bronze``, ``dead_letters``,
+    ``outcomes`` (one narrow row per request), ``seen`` (ids) and ``recent`` (arrivals within the limit of
+    the last window). ``remember_ms`` bounds how far back ids are looked up, in arrival time.
+    """
+    spark = requests.sparkSession
+    folder = f"batch={batch_id}"
+    seen = readers.optional(spark.read.schema("event_id string, arrival_ms long, batch long").parquet, f"{base}/seen")
+    if seen is not None:
+        seen = seen.filter(F.col("batch") < batch_id)
+        if remember_ms is not None:
+            first = requests.agg(F.min("arrival_ms")).scalar()
+            seen = seen.filter(F.col("arrival_ms") >= first - remember_ms)
+        seen = seen.select("event_id")
+    recent = _still_recent(spark, base, batch_id)
+    with Scratch(spark) as scratch:
+        classified = ingest.classify(
+            requests, device_keys, window_ms=window_ms, seen=seen, recent=recent, keep=scratch.keep, **limits
+        )
+        ingest.accepted_events(classified).write.mode("overwrite").parquet(f"{base}/bronze/{folder}")
+        ingest.dead_letters(classified).write.mode("overwrite").json(f"{base}/dead_letters/{folder}")
+        narrow = classified.select("arrival_no", "arrival_ms", "event_id", "driver_id", "outcome", "reason")
+        narrow.write.mode("overwrite").parquet(f"{base}/outcomes/{folder}")
+    outcomes = spark.read.schema(narrow.schema).parquet(f"{base}/outcomes/{folder}")
+    known = outcomes.filter(~F.col("outcome").isin("INVALID_JSON", "UNAUTHORIZED", "DUPLICATE_EVENT"))
+    ids = known.filter(F.col("event_id").isNotNull()).select("event_id", "arrival_ms")
+    ids.write.mode("overwrite").parquet(f"{base}/seen/{folder}")
+    _write_recent(known.filter("outcome <> 'RATE_LIMIT_EXCEEDED'"), recent, base, batch_id, window_ms)
+
+
+def ingest_stream(
+    requests: DataFrame, device_keys: DataFrame, base: str, checkpoint: str, trigger: dict | None = None, **options
+) -> StreamingQuery:
+    """The whole ingest path per micro-batch, see ``take_micro_batch``. Earlier ids and arrivals are tables, so a
+    driver's flood and a very frequent id spread over tasks as they do in a batch."""
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        take_micro_batch(batch.drop("arrived_at"), device_keys, base, batch_id, **options)
+
     return (
-        events.writeStream.format("parquet")
-        .option("path", path)
+        requests.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
-def write_counters(
-    classified: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Running count per reason; every micro-batch replaces the small result table."""
-    counts = classified.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+def stream_counters(spark: SparkSession, base: str) -> DataFrame:
+    """(counter, n) over all outcomes that ``ingest_stream`` has written so far."""
+    outcomes = spark.read.schema("outcome string").option("recursiveFileLookup", "true").parquet(f"{base}/outcomes")
+    return monitoring.outcome_counters(outcomes)
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(path)
 
+def write_bronze_stream(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Flush events to Parquet as they come; ``availableNow`` flushes what is there and stops."""
     return (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(replace)
+        events.writeStream.format("parquet")
+        .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

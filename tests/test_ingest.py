@@ -7,6 +7,7 @@ from conftest import EVENT
 from pyspark.sql import functions as F
 
 from milemark.operators import ingest
+from milemark.operators.monitoring import outcome_counters
 from milemark.plans import medallion
 from milemark.session import scratch_path
 from milemark.sources import readers
@@ -69,20 +70,46 @@ def test_batch_and_stream_write_the_same(spark, keys, rows):
     base = scratch_path(spark, "ingest-test")
     df = spark.createDataFrame(rows, streaming.REQUESTS).coalesce(1)
     medallion.ingest_batch(df, keys, f"{base}/batch/bronze", f"{base}/batch/dlq")
-    df.sortWithinPartitions("arrival_ms").write.json(f"{base}/in")
-    admitted = streaming.admitted_events(streaming.request_stream(spark, f"{base}/in"), keys)
-    streaming.finish(streaming.write_routed(admitted, f"{base}/s/bronze", f"{base}/s/dlq", f"{base}/checkpoint"))
+    # the stream gets them in three micro-batches, in order of arrival
+    for part in (rows[:5], rows[5:20], rows[20:]):
+        spark.createDataFrame(part, streaming.REQUESTS).coalesce(1).write.mode("append").json(f"{base}/in")
+    stream = streaming.request_stream(spark, f"{base}/in", 1)
+    streaming.finish(streaming.ingest_stream(stream, keys, f"{base}/s", f"{base}/checkpoint"))
 
     def bronze(path):
         return sorted(r["event_id"] for r in readers.read_raw_events(spark, path).collect())
 
     def letters(path):
-        return sorted((r["event_id"], r["_dlq_reason"]) for r in readers.read_dead_letters(spark, path).collect())
+        return sorted((r["event_id"], r["_dlq_reason"], r["_original"]) for r in readers.read_dead_letters(spark, path).collect())
 
     assert bronze(f"{base}/batch/bronze") == bronze(f"{base}/s/bronze")
-    # both copies of "bad" would do in the stream; the first has the bad latitude in the batch
-    assert letters(f"{base}/batch/dlq") == [("bad", "LAT_LON_OUT_OF_RANGE"), ("x7", "SCHEMA_VALIDATION_FAILED")]
-    assert ("x7", "SCHEMA_VALIDATION_FAILED") in letters(f"{base}/s/dlq")
+    assert letters(f"{base}/batch/dlq") == letters(f"{base}/s/dead_letters")
+    assert [x[:2] for x in letters(f"{base}/batch/dlq")] == [("bad", "LAT_LON_OUT_OF_RANGE"), ("x7", "SCHEMA_VALIDATION_FAILED")]
+    assert '"fast"' in letters(f"{base}/s/dead_letters")[1][2]
+    counters = {r["counter"]: r["n"] for r in streaming.stream_counters(spark, f"{base}/s").collect()}
+    batch = {r["counter"]: r["n"] for r in outcome_counters(ingest.classify(df, keys)).collect()}
+    assert counters == batch
+
+
+def test_late_rows_and_rows_without_id_have_an_outcome(spark, keys):
+    base = scratch_path(spark, "late")
+    start = 1_700_000_000_000
+    no_id = {**EVENT, "event_id": None}
+    batches = [
+        [request(1, start + 10_000_000, EVENT), request(2, start + 10_000_001, no_id)],
+        [request(3, start, {**EVENT, "event_id": "late"}), request(4, start + 1, no_id), request(5, start + 2, EVENT)],
+        [request(6, start + 3, {**EVENT, "event_id": "late"}), request(7, start + 20_000_000, no_id)],
+    ]
+    for part in batches:
+        spark.createDataFrame(part, streaming.REQUESTS).coalesce(1).write.mode("append").json(f"{base}/in")
+    stream = streaming.request_stream(spark, f"{base}/in", 1)
+    streaming.finish(streaming.ingest_stream(stream, keys, f"{base}/s", f"{base}/checkpoint"))
+    outcomes = spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/s/outcomes")
+    got = {r["arrival_no"]: r["outcome"] for r in outcomes.collect()}
+    assert got == {
+        1: "ACCEPTED", 2: "REJECTED", 3: "ACCEPTED", 4: "REJECTED", 5: "DUPLICATE_EVENT", 6: "DUPLICATE_EVENT", 7: "REJECTED",
+    }
+    assert readers.read_dead_letters(spark, f"{base}/s/dead_letters").count() == 3
 
 
 def test_stream_limiter_remembers_between_batches(spark):
@@ -92,11 +119,12 @@ def test_stream_limiter_remembers_between_batches(spark):
         lines = [(part * 100 + i, start + o, "{}", "") for i, o in enumerate(offsets)]
         spark.createDataFrame(lines, streaming.REQUESTS).coalesce(1).write.mode("append").json(f"{base}/in")
     stream = streaming.request_stream(spark, f"{base}/in", 1).withColumn("driver_id", F.lit("d"))
-    decided = streaming.limit_rate(stream.select("arrival_no", "arrival_ms", "driver_id"))
-    streaming.finish(streaming.write_bronze_stream(decided, f"{base}/out", f"{base}/checkpoint"))
-    got = spark.read.schema(decided.schema).parquet(f"{base}/out")
+    narrow = stream.select("arrival_no", "arrival_ms", "driver_id")
+    streaming.finish(streaming.limit_rate_stream(narrow, base, f"{base}/checkpoint"))
+    got = spark.read.parquet(f"{base}/decided")
     assert got.count() == 31
     assert got.filter("accepted").count() == 20  # the last arrival is exactly one second after the first
+    assert spark.read.parquet(f"{base}/recent/batch=2").count() == 20
 
 
 def test_malformed_and_partial_bodies(spark):

@@ -2,8 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from milemark.functions.driving import event_date
+from milemark.operators import cleaning, validation
+from milemark.operators import monitoring as monitoring_ops
 from milemark.plans import learning, medallion, monitoring, quality
-from milemark.schemas import FEATURE_COLUMNS, SILVER_EVENTS, SILVER_TRIPS, conform
+from milemark.schemas import FEATURE_COLUMNS, MODEL_SUMMARY, SILVER_EVENTS, SILVER_TRIPS, conform
 from milemark.session import scratch_path, shared_folder
 from milemark.sources import readers, writers
 
@@ -45,7 +47,7 @@ def test_gold_and_manifest(spark, lake):
     events = readers.read_table(spark, f"{lake}/silver", schema=SILVER_EVENTS).count()
     assert (manifest["events_processed"], manifest["drivers"]) == (events, 7)
     assert manifest["run_time"] and len(manifest["config_hash"]) == 32
-    assert quality.gold_quality(gold).filter("NOT ok").count() == 0
+    assert validation.gold_rules(gold).filter("NOT ok").count() == 0
 
 
 def test_gold_without_trip_table(spark, lake):
@@ -68,10 +70,24 @@ def test_options_of_the_cleaning_job(make_events):
     assert strict.filter("session_id IS NULL").count() == 0
 
 
+def test_copies_that_differ_in_one_column_only(make_events, spark):
+    events = make_events({"event_id": "e", "weather": "snow"}, {"event_id": "e", "weather": "rain"}, {"event_id": "e", "crime_index": 0.4})
+    kept = {cleaning.dedup_events(events.orderBy(*by).coalesce(1)).first() for by in (["weather"], [F.desc("weather")], ["crime_index"])}
+    assert len(kept) == 1
+
+
+def test_illegal_sources_and_default_models(spark, make_events):
+    events = make_events({"source": "radio"}, {"source": "radio"}, {"source": "TV"}, {})
+    found = {r["source"]: r["rows"] for r in validation.illegal_sources(events).collect()}
+    assert found == {"radio": 2, "TV": 1}
+    best = monitoring_ops.best_models(spark.createDataFrame([], MODEL_SUMMARY), "models").first()
+    assert (best["frequency_artifact"], best["severity_artifact"]) == ("models/frequency_rf", "models/severity_xgb")
+
+
 def test_training_set_and_pricing(spark, lake):
     training = learning.build_training_set(spark, f"{lake}/gold", f"{lake}/training", f"{lake}/training-manifest")
     manifest = readers.read_json_documents(spark, f"{lake}/training-manifest")
-    checked = quality.training_quality(training, manifest).first()
+    checked = quality.table_quality(training, training, manifest)["training"].first()
     assert checked["rows_ok"] and checked["positives_ok"]
     training.select("driver_id", F.lit(100.0).alias("expected_loss")).write.parquet(f"{lake}/scores")
     premiums = learning.price_premiums(spark, f"{lake}/scores", f"{lake}/premiums", f"{lake}/premium-manifest", expense_load=0.5)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from milemark.operators import labels, metrics, monitoring
+from milemark.operators import distribution, labels, metrics, monitoring
 
 SCHEMA = "row_id bigint, y_true double, y_pred double"
 
@@ -102,10 +102,48 @@ def test_bootstrap(spark):
     assert few["lower"] is None and few["used"] == 0
 
 
-def test_resample_weights_are_poisson(spark):
-    df = spark.range(4000).select(F.col("id").alias("row_id"), F.lit(1).alias("replicate"))
-    row = metrics.with_resample_weight(df, "row_id", 1).agg(F.avg("w"), F.var_samp("w")).first()
-    assert abs(row[0] - 1) < 0.06 and abs(row[1] - 1) < 0.12
+def test_resample_weights_are_poisson():
+    w = metrics.resample_weights([str(i) for i in range(4000)], 1, 1)
+    assert abs(w.mean() - 1) < 0.06 and abs(w.var() - 1) < 0.12
+
+
+@pytest.mark.parametrize("ties", [True, False])
+def test_bootstrap_against_loops(spark, ties):
+    rng = random.Random(9)
+    rows = tied_rows(5, 150) if ties else [(int(rng.random() < 0.4), rng.random()) for _ in range(150)]
+    df = frame(spark, rows)
+    weights = metrics.resample_weights([str(i) for i in range(len(rows))], 6, 42)
+    got = {m: {r["replicate"]: r["value"] for r in metrics.bootstrap_metric(df, m, 6).collect()} for m in ("AUC", "PR", "MAE")}
+    for k in range(6):
+        w = weights[:, k]
+        positive = [(p, n) for (y, p), n in zip(rows, w) if y]
+        negative = [(p, n) for (y, p), n in zip(rows, w) if not y]
+        pairs = sum(n * m * ((a > b) + 0.5 * (a == b)) for a, n in positive for b, m in negative)
+        total = sum(n for _, n in positive)
+        assert math.isclose(got["AUC"][k + 1], pairs / total / sum(n for _, n in negative))
+        precision = 0.0
+        for score in {p for p, _ in positive}:
+            tp = sum(n for p, n in positive if p >= score)
+            here = sum(n for p, n in positive if p == score)
+            if here:
+                precision += here * tp / (tp + sum(n for p, n in negative if p >= score))
+        assert math.isclose(got["PR"][k + 1], precision / total)
+        assert math.isclose(got["MAE"][k + 1], sum(n * abs(y - p) for (y, p), n in zip(rows, w)) / w.sum())
+
+
+def test_missing_and_infinite_figures(spark):
+    rows = [(1, 0.9), (0, 0.2), (1, 0.4), (0, 0.4)]
+    known = frame(spark, rows)
+    gaps = spark.createDataFrame([(90, 0.0, None), (91, 1.0, math.nan), (92, None, 0.5)], SCHEMA)
+    both = known.unionByName(gaps)
+    assert metrics.classification_metrics(both).first() == metrics.classification_metrics(known).first()
+    assert metrics.regression_metrics(both).first() == metrics.regression_metrics(known).first()
+    values = [1.0, 2.0, math.nan, None, math.inf, -math.inf, 3.0, 2.5]
+    column = spark.createDataFrame([(v,) for v in values], "x double")
+    found = distribution.describe(column, ["x"]).first()
+    assert found["q50"] == np.quantile([1, 2, math.inf, -math.inf, 3, 2.5], 0.5)
+    infinite = spark.createDataFrame([(math.inf,)] * 3, "x double")
+    assert distribution.describe(infinite, ["x"]).first()["q50"] == math.inf
 
 
 def test_calibration_bins(spark):
