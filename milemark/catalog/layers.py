@@ -8,7 +8,7 @@ from milemark.catalog import inputs
 from milemark.catalog.aggregates import rounded_trips, sql_trip_columns
 from milemark.catalog.cleaning import REASON_SQL, spoiled_gold
 from milemark.catalog.registry import (
-    FEATURE_NAMES, ORACLES, bronze, gold, gold_table, query, r, rounded, silver, silver_trips, sql_features, training,
+    CTES, FEATURE_NAMES, ORACLES, bronze, gold, gold_table, query, r, rounded, silver, silver_trips, sql_features, training,
     with_ctes,
 )
 from milemark.functions.driving import event_date
@@ -250,6 +250,35 @@ def jb3(spark, sf):
     return rounded_trips(readers.read_table(spark, f"{base}/trips"))
 
 
+CTES["steady"] = (
+    ["silver"],
+    """SELECT * EXCLUDE (reached) FROM (SELECT *, max(odometer_km) OVER (PARTITION BY driver_id, trip_id
+         ORDER BY ts, event_seq_no, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+         FROM silver WHERE heading IS NULL OR (heading >= 0 AND heading < 360))
+       WHERE NOT coalesce(odometer_km < reached, false)""",
+)
+
+
+@query(
+    "jb3_all_options",
+    with_ctes(
+        """SELECT event_id, concat(driver_id, '-s', sum(opens) OVER (PARTITION BY driver_id
+             ORDER BY ts, event_seq_no, event_id ROWS UNBOUNDED PRECEDING)::bigint::varchar) AS session_id, odometer_km
+           FROM (SELECT *, CASE WHEN ts - lag(ts) OVER w <= 300000 THEN 0 ELSE 1 END AS opens
+             FROM steady WINDOW w AS (PARTITION BY driver_id ORDER BY ts, event_seq_no, event_id))""",
+        "steady",
+    ),
+)
+def jb3_options(spark, sf):
+    """Heading, odometer and session checks of the cleaning job switched on."""
+    base = scratch_path(spark, "jb3o")
+    medallion.bronze_to_silver(
+        spark, _raw_files(spark, sf), f"{base}/events", check_heading=True, sessions=True, monotonic_odometer=True
+    )
+    events = readers.read_table(spark, f"{base}/events", schema=SILVER_EVENTS)
+    return events.select("event_id", "session_id", "odometer_km")
+
+
 @query("jb4_silver_to_gold", with_ctes(f"SELECT {sql_features()} FROM gold", "gold"))
 def jb4(spark, sf):
     base = scratch_path(spark, "jb4")
