@@ -38,7 +38,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and the digests of the ids and of the bytes they decode to."""
     tokens = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    return byte_bpe.decode(tokens, RANKS, public_tokenizers.PATTERN).select(
+    return byte_bpe.decode(tokens, RANKS).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         "token_ids",

@@ -36,7 +36,7 @@ from tokenizers.pre_tokenizers import ByteLevel, Split
 from milemark.llm.batches import text_slices
 
 #: Distinct matches that a Python worker remembers; it forgets all beyond that.
-MEMORY = 500_000
+MEMORY = 200_000
 #: Largest rank file that is sent to the executors.
 MAX_RANK_BYTES = 32 << 20
 
@@ -69,52 +69,22 @@ class _Remembered(dict):
         return ids
 
 
-class Vocabulary:
-    """A rank file as a tokenizers model, with the table that leads back from ids to bytes."""
+class Bytes:
+    """The way back: the bytes of each id."""
 
-    def __init__(self, content: bytes, pattern: str):
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
-        written = byte_characters()
-        spell = lambda token: "".join(written[b] for b in token)
-        merges = [
-            (spell(token[:i]), spell(token[i:]))
-            for token in sorted(ranks, key=ranks.__getitem__)
-            for i in range(1, len(token))
-            if token[:i] in ranks and token[i:] in ranks
-        ]
-        vocab = {spell(token): rank for token, rank in ranks.items()}
-        self.model = Tokenizer(BPE(vocab=vocab, merges=merges, ignore_merges=True))
-        self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.matches = regex.compile(pattern).findall
-        self.careful = Split(Regex(pattern), "isolated")
-        self.unknown = re.compile(_unassigned()).search
-        self.uncommon = re.compile("[\u0378-\U0010ffff]").search  # below, all code points are assigned
-        back = {character: byte for byte, character in written.items()}
-        self.bytes_of = {rank: bytes(back[c] for c in token) for token, rank in vocab.items()}
+    def __init__(self, content: bytes):
+        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
+        # spelled as the tokenizers library spells them, and read back by the reversed byte table
+        back = {character: byte for byte, character in byte_characters().items()}
+        self.bytes_of = {rank: bytes(back[c] for c in spelling) for spelling, rank in self.spelled().items()}
         in_order = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
         self.length = np.array([len(token) for token in in_order], np.int64)
         self.begin = np.cumsum(self.length) - self.length
         self.table = np.frombuffer(b"".join(in_order), np.uint8)
-        self.known = _Remembered(self.model)
-
-    def split(self, text: str) -> list[str]:
-        first = None if text.isascii() else self.uncommon(text)
-        if first and self.unknown(text, first.start()):
-            return [piece for piece, _ in self.careful.pre_tokenize_str(text)]
-        return self.matches(text)
 
-    def encode(self, text: str) -> np.ndarray:
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        return np.frombuffer(b"".join(map(self.known.__getitem__, self.split(text))), np.int32)
-
-    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First character and the one after the last, by token; tokens that share a character all hold it."""
-        after = np.cumsum(self.length[ids])
-        before = after - self.length[ids]
-        data = np.frombuffer(text.encode(), np.uint8)
-        character = np.cumsum((data & 0xC0) != 0x80)
-        return character[before] - 1, character[after - 1]
+    def spelled(self) -> dict[str, int]:
+        written = byte_characters()
+        return {"".join(written[b] for b in token): rank for token, rank in self.ranks.items()}
 
     def decode(self, ids: Iterable[int]) -> bytes | None:
         """The bytes of the ids; None if there is no such id."""
@@ -148,6 +118,47 @@ class Vocabulary:
             yield rest
 
 
+class Vocabulary(Bytes):
+    """A rank file as a tokenizers model, with the way back."""
+
+    def __init__(self, content: bytes, pattern: str):
+        super().__init__(content)
+        written = byte_characters()
+        spell = lambda token: "".join(written[b] for b in token)
+        merges = [
+            (spell(token[:i]), spell(token[i:]))
+            for token in sorted(self.ranks, key=self.ranks.__getitem__)
+            for i in range(1, len(token))
+            if token[:i] in self.ranks and token[i:] in self.ranks
+        ]
+        self.model = Tokenizer(BPE(vocab=self.spelled(), merges=merges, ignore_merges=True))
+        self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.matches = regex.compile(pattern).findall
+        self.careful = Split(Regex(pattern), "isolated")
+        self.unknown = re.compile(_unassigned()).search
+        self.uncommon = re.compile("[\u0378-\U0010ffff]").search  # below, all code points are assigned
+        self.known = _Remembered(self.model)
+
+    def split(self, text: str) -> list[str]:
+        first = None if text.isascii() else self.uncommon(text)
+        if first and self.unknown(text, first.start()):
+            return [piece for piece, _ in self.careful.pre_tokenize_str(text)]
+        return self.matches(text)
+
+    def encode(self, text: str) -> np.ndarray:
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.split(text))), np.int32)
+
+    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First character and the one after the last, by token; tokens that share a character all hold it."""
+        after = np.cumsum(self.length[ids])
+        before = after - self.length[ids]
+        data = np.frombuffer(text.encode(), np.uint8)
+        character = np.cumsum((data & 0xC0) != 0x80)
+        return character[before] - 1, character[after - 1]
+
+
 @lru_cache(2)
 def vocabulary(content: bytes, pattern: str) -> Vocabulary:
     """One model for each worker process."""
@@ -155,6 +166,11 @@ def vocabulary(content: bytes, pattern: str) -> Vocabulary:
     return Vocabulary(content, pattern)
 
 
+@lru_cache(2)
+def byte_table(content: bytes) -> Bytes:
+    return Bytes(content)
+
+
 def read_ranks(path: str) -> bytes:
     if os.path.getsize(path) > MAX_RANK_BYTES:
         raise ValueError(f"{path} is larger than {MAX_RANK_BYTES} bytes")
@@ -195,7 +211,7 @@ def encode(
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, schema)
 
 
-def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str = "token_ids", as_text: bool = False) -> DataFrame:
+def decode(tokens: DataFrame, ranks_path: str, ids_col: str = "token_ids", as_text: bool = False) -> DataFrame:
     """All columns of ``tokens`` and ``decoded``: the bytes of the ids, or with ``as_text`` their text, where bytes
     that form no character become U+FFFD. Null ids and ids outside the vocabulary give null. A column of the same
     name is replaced."""
@@ -203,7 +219,7 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str = "tok
     kept = [c for c in tokens.columns if c != "decoded"]
 
     def run(batches):
-        words = vocabulary(content.value, pattern)
+        words = byte_table(content.value)
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)

@@ -131,7 +131,7 @@ def op9(spark, sf):
 @query("op10_byte_level_bpe")
 def op10(spark, sf):
     tokens = byte_bpe.encode(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN)
-    return byte_bpe.decode(tokens, RANKS, public_tokenizers.PATTERN).select(
+    return byte_bpe.decode(tokens, RANKS).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),

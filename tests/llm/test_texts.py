@@ -137,7 +137,7 @@ def test_bpe_equals_the_published_library(messy_rows, messy, clashing, empty, pu
     expected = sorted((str(r[0]), published.encode_ordinary(r[1] or ""), (r[1] or "").encode()) for r in messy_rows)
     for docs in (messy, clashing):
         tokens = byte_bpe.encode(docs, RANKS, PATTERN)
-        rows = byte_bpe.decode(tokens, RANKS, PATTERN).collect()
+        rows = byte_bpe.decode(tokens, RANKS).collect()
         assert sorted((str(r.doc_id), r.token_ids, bytes(r.decoded)) for r in rows) == expected
     assert byte_bpe.encode(empty, RANKS, PATTERN, offsets=True).count() == 0
 
@@ -167,5 +167,5 @@ def test_offsets_and_split_characters(spark, published):
     assert "".join(words.decode_pieces([i] for i in row.token_ids)) == text
     assert "".join(words.decode_pieces([row.token_ids[:-4]])) != ""
     tokens = spark.createDataFrame([(1, row.token_ids), (2, None), (3, [999999]), (4, [])], "doc_id long, token_ids array<int>")
-    back = {r.doc_id: r.decoded for r in byte_bpe.decode(tokens.withColumn("decoded", F.lit(0)), RANKS, PATTERN, as_text=True).collect()}
+    back = {r.doc_id: r.decoded for r in byte_bpe.decode(tokens.withColumn("decoded", F.lit(0)), RANKS, as_text=True).collect()}
     assert back == {1: text, 2: None, 3: None, 4: ""}
