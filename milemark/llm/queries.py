@@ -18,9 +18,51 @@ def held_out(n: int, remainder: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n == remainder, F.lit(False))
 
 
-@query("op1_quality_rules")
+_RULE_ROWS = " UNION ALL ".join(
+    f"SELECT source AS host, '{name}' AS rule, count(*)::double AS n, (count(*) FILTER ({rule}))::double AS f "
+    "FROM measured WHERE source IS NOT NULL GROUP BY source"
+    for name, rule in host_quality.RULES.items()
+)
+
+
+@query(
+    "op1_quality_rules",
+    rf"""
+    WITH cut AS (
+      SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w
+      FROM documents),
+    windows AS (
+      SELECT doc_id, i, array_to_string(w[i + 1 : i + 8], ' ') AS words
+      FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 7, 0))) AS i FROM cut)),
+    covered AS (
+      SELECT doc_id, count(DISTINCT spot) AS n FROM (
+        SELECT doc_id, unnest(range(i, i + 8)) AS spot
+        FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, words) AS times FROM windows) WHERE times > 1) GROUP BY doc_id),
+    lines AS (
+      SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM cut)
+      WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+    measured AS (
+      SELECT doc_id, source, len(w)::bigint AS n_words, length(array_to_string(w, ''))::bigint AS word_chars,
+        (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint AS n_symbols,
+        coalesce(lines.n, 0)::bigint AS n_dup_lines, coalesce(covered.n, 0)::bigint AS n_repeat_words
+      FROM cut LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+    counted AS ({_RULE_ROWS}),
+    moments AS (
+      SELECT rule, m, CASE WHEN hosts > 1 AND m > 0 AND m < 1 THEN
+          greatest((weighted - docs * m * m - (hosts - 1) * m * (1 - m)) / (docs - squares / docs), 0) ELSE 0 END AS v
+      FROM (SELECT rule, count(*) AS hosts, sum(n) AS docs, sum(f) / sum(n) AS m, sum(n * n) AS squares,
+              sum(f * f / n) AS weighted FROM counted GROUP BY rule)),
+    hosts AS (
+      SELECT host, max(CASE WHEN v <= 0 THEN m ELSE (f + s * m) / (n + s) END) AS rate
+      FROM (SELECT *, greatest(m * (1 - m) / nullif(v, 0) - 1, 2) AS s FROM counted JOIN moments USING (rule)) GROUP BY host)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(rate, 6) AS host_rate,
+      coalesce(rate > 0.5, false) AS host_rejected, NOT base_failed AND NOT coalesce(rate > 0.5, false) AS kept
+    FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+      LEFT JOIN hosts ON source = host
+    """,
+)
 def op1(spark, sf):
-    return host_quality.judge(table(spark, sf, "documents"))
+    return host_quality.judge(table(spark, sf, "documents")).withColumn("host_rate", F.round("host_rate", 6))
 
 
 def toxicity_model(docs, labels):
