@@ -6,7 +6,8 @@ whose corrected part falls below zero takes its step upwards instead. A few line
 own two thirds of the sample, are averaged.
 
 Features are words and beginnings of words of a text, present or not. Those that are clearly more frequent in toxic
-than in unlabelled texts of the sample are chosen, at most ``max_features`` of them.
+than in unlabelled texts of the sample are chosen, at most ``max_features`` of them; of a word and its beginnings only
+the clearest.
 
 The classifiers are fitted on a bounded sample: at most ``max_toxic`` toxic and ``max_unlabelled`` other training
 texts, the ones with the smallest hash of their id, equal texts once. Their size does not depend on the table, so the
@@ -79,7 +80,22 @@ def _choose(sample: DataFrame, max_features: int, least: int = 3, z: float = 4.5
     pooled = (F.col("a") + F.col("b")) / (n.n1 + n.n0)
     score = (p1 - p0) / F.sqrt(pooled * (1 - pooled) * (1 / n.n1 + 1 / n.n0) + 1e-12)
     best = counts.where(F.col("a") >= least).withColumn("z", score).where((F.col("z") > z) & (p1 > ratio * p0))
-    return [row.feature for row in best.orderBy(F.desc("z"), "feature").limit(max_features).collect()]
+    return _without_kin([row.feature for row in best.orderBy(F.desc("z"), "feature").limit(max_features).collect()])
+
+
+def _without_kin(features: list[str]) -> list[str]:
+    """Of features where one begins with the other, the first alone: a rare word and its beginnings are one sign."""
+    kept: list[str] = []
+    stems: set[str] = set()
+    beginnings: set[str] = set()
+    for feature in features:
+        stem = feature.rstrip("*")
+        own = {stem[:k] for k in range(1, len(stem) + 1)}
+        if stem not in beginnings and not own & stems:
+            kept.append(feature)
+            stems.add(stem)
+            beginnings |= own
+    return kept
 
 
 def _present(texts: list[str | None], place: dict[str, int]) -> list[list[int]]:
@@ -92,7 +108,7 @@ def _present(texts: list[str | None], place: dict[str, int]) -> list[list[int]]:
 
 def fit_nnpu(
     toxic: list[list[int]], unlabelled: list[list[int]], n_features: int, prior: float, seed: int,
-    epochs: int = 40, batch: int = 400, rate: float = 0.02, decay: float = 1e-4,
+    epochs: int = 60, batch: int = 400, rate: float = 0.02, decay: float = 1e-4,
 ) -> np.ndarray:
     """Weights, the bias last, of a linear classifier under the non-negative risk with logistic loss (Adam steps)."""
 
