@@ -29,7 +29,7 @@ _RULE_ROWS = " UNION ALL ".join(
     "op1_quality_rules",
     rf"""
     WITH cut AS (
-      SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w
+      SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
       FROM documents),
     windows AS (
       SELECT doc_id, i, array_to_string(w[i + 1 : i + 8], ' ') AS words
@@ -40,7 +40,7 @@ _RULE_ROWS = " UNION ALL ".join(
         FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, words) AS times FROM windows) WHERE times > 1) GROUP BY doc_id),
     lines AS (
       SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM cut)
-      WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
     measured AS (
       SELECT doc_id, source, len(w)::bigint AS n_words, length(array_to_string(w, ''))::bigint AS word_chars,
         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint AS n_symbols,
