@@ -300,23 +300,23 @@ def _bootstrap_ranking(rows: DataFrame, metric: str, replicates: int, seed: int)
     placed = _placed(rows, value_edges(rows, ["y_pred"])["y_pred"]).withColumn("_positive", F.col("y_true") > 0).drop("y_true")
     # one row for each place and replicate from here on
     higher = Window.partitionBy("replicate").orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, -1)
-    sums = _place_sums(placed, replicates, seed).withColumns(
-        {f"{c}_before": F.coalesce(F.sum(c).over(higher), F.lit(0.0)) for c in ("tp", "fp")}
-    )
+
+    def with_before(sums: DataFrame) -> DataFrame:
+        return sums.withColumns({f"{c}_before": F.coalesce(F.sum(c).over(higher), F.lit(0.0)) for c in ("tp", "fp")})
+
     before = None
     if metric == "PR":
         before = {}
-        for row in sums.filter("place % 2 = 1").select("place", "replicate", "tp_before", "fp_before").collect():
+        sums = with_before(_place_sums(placed, replicates, seed)).filter("place % 2 = 1")
+        for row in sums.select("place", "replicate", "tp_before", "fp_before").collect():
             held = before.setdefault(row[0], np.zeros((2, replicates)))
             held[:, row[1] - 1] = row[2], row[3]
-    inside = _span_sums(placed, replicates, seed, before).select(
-        F.col("place").alias("_s_place"), F.col("replicate").alias("_s_replicate"), "extra"
-    )
-    same = (F.col("place") == F.col("_s_place")) & (F.col("replicate") == F.col("_s_replicate"))
-    joined = sums.join(inside, same, "left")
+    # at an edge all scores are equal, so its sums are enough
+    edges = _place_sums(placed.filter("_place % 2 = 0"), replicates, seed)
+    joined = with_before(_span_sums(placed, replicates, seed, before).unionByName(edges, allowMissingColumns=True))
     tp, fp = F.col("tp"), F.col("fp")
     if metric == "AUC":
-        own = F.coalesce("extra", fp * tp / 2)  # at an edge, all scores are equal
+        own = F.coalesce("extra", fp * tp / 2)
         value = F.try_divide(F.sum(own + fp * F.col("tp_before")), F.sum("tp") * F.sum("fp"))
     else:
         all_tp = F.col("tp_before") + tp
