@@ -1,10 +1,12 @@
 """Benchmark decontamination over a distributed positional inverted index. DataFrame functions only.
 
 Words are lower-cased in A-Z; a window is ``window`` consecutive words of a benchmark item, or a whole shorter item.
-First the corpus frequency of every benchmark word is counted. Each window is looked up by its two rarest words; the
-index holds the postings (document, position) of those words and is stored. A posting minus the word's offset is the
-place where its window would begin, and two lists agree where these places are equal (phrase candidates) or at most
-``slop`` apart (proximity matches). Phrase candidates are then compared word by word with the document's text.
+First the corpus frequency of every benchmark word is counted. Each window is looked up by the two rarest of its words
+that occur in the corpus; the index holds the postings (document, position) of those words and is stored. A posting
+minus the word's offset is the place where its window would begin, and two lists agree where these places are equal or
+at most ``slop`` apart. Equal places are phrase candidates, unless the window has a word that the corpus lacks or would
+reach over the text's end; they are compared word by word with the document's text. Windows that agree somewhere in a
+document but are nowhere its phrase are proximity matches.
 
 Words that the benchmark does not have never leave their task; Spark broadcasts the benchmark's words if they are few
 and joins by shuffle otherwise, where a hot word is split. Lists are intersected inside one document and window, so
@@ -14,7 +16,8 @@ its own length bounds.
 Defined cases: null texts have no words; items without words are no items; equal windows of several items are looked
 up once and count for each of them; repeated rows get a result each; a null item_id is counted for no document; rows
 with equal id and different texts are told apart by the text's hash; an empty benchmark or corpus gives no hits or no
-rows; other columns are ignored by ``matches`` and kept by ``clean_documents``.
+rows; a window of which only one word occurs has no proximity match, and one posting never stands for both words where
+they are equal; other columns are ignored by ``matches`` and kept by ``clean_documents``.
 """
 
 from __future__ import annotations
@@ -57,24 +60,30 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def anchors(windows: DataFrame, frequency: DataFrame) -> DataFrame:
-    """(term, phrase, offset, n, rank): the two rarest words of each window whose words all occur in the corpus."""
+    """(term, phrase, offset, n, rank, apart, whole): the two rarest words of each window that occur in the corpus.
+    ``apart`` is the distance to the first one where the second is the same word, ``whole`` whether all words occur."""
     each = windows.select("phrase", "n", F.posexplode(F.split("phrase", " ")).alias("offset", "term"))
     counted = each.join(frequency, "term", "left")
     by_window = Window.partitionBy("phrase")
+    rarest_first = by_window.orderBy(F.col("count").asc_nulls_last(), "term", "offset")
     ranked = counted.withColumns(
         {
-            "rank": F.row_number().over(by_window.orderBy("count", "term", "offset")),
-            "absent": F.max(F.col("count").isNull()).over(by_window),
+            "rank": F.row_number().over(rarest_first),
+            "apart": F.when(F.lag("term").over(rarest_first) == F.col("term"), F.col("offset") - F.lag("offset").over(rarest_first)),
+            "whole": ~F.max(F.col("count").isNull()).over(by_window),
         }
     )
-    return ranked.where((F.col("rank") <= 2) & ~F.col("absent")).select("term", "phrase", "offset", "n", "rank")
+    chosen = ranked.where((F.col("rank") <= 2) & F.col("count").isNotNull())
+    return chosen.select("term", "phrase", "offset", "n", "rank", "apart", "whole")
 
 
 def intersect(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
-    """(id, text_hash, phrase, n, begin, gap): where the lists of a window's words agree; ``gap`` 0 for phrase
-    candidates, else the words between the places that the two rarest words point to, ``slop`` at most."""
+    """(id, text_hash, phrase, n, begin, candidate): where the lists of a window's words agree up to ``slop`` words
+    between the places that the two rarest words point to; ``candidate`` where the phrase may begin."""
     begin = F.col("place") - F.col("offset")
-    found = postings.join(chosen, "term").select("id", "text_hash", "phrase", "n", "rank", begin.alias("begin"), "n_words")
+    found = postings.join(chosen, "term").select(
+        "id", "text_hash", "phrase", "n", "rank", begin.alias("begin"), "n_words", "apart", "whole"
+    )
     ordered = Window.partitionBy("id", "text_hash", "phrase").orderBy("begin")
     rarest = F.when(F.col("rank") == 1, F.col("begin"))
     near = found.withColumns(
@@ -83,11 +92,15 @@ def intersect(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
             "ahead": F.min(rarest).over(ordered.rangeBetween(Window.currentRow, Window.unboundedFollowing)),
         }
     )
-    gap = F.when(F.col("n") == 1, F.lit(0)).otherwise(F.least(F.col("begin") - F.col("back"), F.col("ahead") - F.col("begin")))
+    # the same posting as first word; later ones are no nearer than the pair with both changed round
+    itself = F.coalesce(F.col("ahead") == F.col("begin") + F.col("apart"), F.lit(False))
+    ahead = F.when(~itself, F.col("ahead"))
+    gap = F.when(F.col("n") == 1, F.lit(0)).otherwise(F.least(F.col("begin") - F.col("back"), ahead - F.col("begin")))
     looked_up = (F.col("rank") == 2) | (F.col("n") == 1)
     near = near.where(looked_up).withColumn("gap", gap).where(F.col("gap") <= slop)
     inside = (F.col("begin") >= 0) & (F.col("begin") + F.col("n") <= F.col("n_words"))
-    return near.where((F.col("gap") > 0) | inside).select("id", "text_hash", "phrase", "n", "begin", "gap")
+    candidate = (F.col("gap") == 0) & inside & F.col("whole")
+    return near.select("id", "text_hash", "phrase", "n", "begin", candidate.alias("candidate"))
 
 
 def matches(
@@ -95,7 +108,7 @@ def matches(
 ) -> DataFrame:
     """One row per document: the id column, ``text_hash``, ``n_words``, ``n_hit`` (words inside phrase matches),
     ``items`` (sorted ids, as strings, of items with phrase matches) and ``near_windows`` (windows whose rarest words
-    meet within ``slop`` but never as the phrase)."""
+    meet within ``slop``, at their own distance included, but never as the phrase)."""
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     owned = scratch.keep(item_windows(benchmark, window), "item_windows")
@@ -110,7 +123,7 @@ def matches(
 
     # each phrase candidate against the text; the words are cut once for each document
     candidate = F.struct("begin", "n", "phrase")
-    lists = found.where("gap = 0").groupBy("id", "text_hash").agg(F.collect_set(candidate).alias("candidates"))
+    lists = found.where("candidate").groupBy("id", "text_hash").agg(F.collect_set(candidate).alias("candidates"))
     lists = lists.withColumnsRenamed({"id": "c_id", "text_hash": "c_hash"})
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("id", F.xxhash64(text).alias("text_hash"), count_words(F.col("text")).alias("n_words"), "text")
@@ -130,15 +143,18 @@ def matches(
 
     hit = checked.select("id", "text_hash", F.explode("phrases").alias("phrase")).distinct()
     items = hit.join(owned, "phrase").groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    near = found.where("gap > 0").select("id", "text_hash", "phrase").distinct()
-    near = near.join(hit.withColumnsRenamed({"id": "h_id", "text_hash": "h_hash", "phrase": "h_phrase"}), F.col("id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_hash")) & (F.col("phrase") == F.col("h_phrase")), "left_anti")
-    near = near.groupBy("id", "text_hash").agg(F.count("*").alias("near_windows"))
-    out = checked.select("id", "text_hash", "n_words", F.coalesce(F.greatest("n_hit", F.lit(0)), F.lit(0)).cast("long").alias("n_hit"))
-    for more, name, default in ((items, "items", F.array().cast("array<string>")), (near, "near_windows", F.lit(0).cast("long"))):
+    # every phrase of ``hits`` is among the windows found, so the others are what is left of their number
+    met = found.select("id", "text_hash", "phrase").distinct().groupBy("id", "text_hash").agg(F.count("*").alias("met"))
+    out = checked.select(
+        "id", "text_hash", "n_words", F.coalesce(F.greatest("n_hit", F.lit(0)), F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce(F.greatest(F.size("phrases"), F.lit(0)), F.lit(0)).alias("n_phrases"),
+    )
+    for more, name, default in ((items, "items", F.array().cast("array<string>")), (met, "met", F.lit(0).cast("long"))):
         more = more.withColumnsRenamed({"id": "m_id", "text_hash": "m_hash"})
         same = F.col("id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash"))
         out = out.join(more, same, "left").withColumn(name, F.coalesce(name, default)).drop("m_id", "m_hash")
-    return out.withColumnRenamed("id", id_col)
+    near = (F.col("met") - F.col("n_phrases")).alias("near_windows")
+    return out.select(F.col("id").alias(id_col), "text_hash", "n_words", "n_hit", "items", near)
 
 
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words", share: int = 20) -> Column:

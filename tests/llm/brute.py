@@ -104,3 +104,27 @@ def contamination(rows, items, window=13):
                     found |= owners[tuple(words[i : i + n])]
         out.append((doc_id, len(words), len(hit), sorted(str(x) for x in found if x is not None)))
     return out
+
+
+def proximity(rows, items, window=13, slop=4):
+    """rows (doc_id, text), items (item_id, text) -> {doc_id: windows whose two rarest words that occur in the rows
+    stand within ``slop`` of their distance, at places of their own, in a text without the phrase}."""
+    texts = {doc_id: ALNUM.findall(small(text)) for doc_id, text in rows}
+    counts = Counter(w for words in texts.values() for w in words)
+    windows = set()
+    for _, text in items:
+        words = ALNUM.findall(small(text))
+        windows |= {tuple(words[i : i + window]) for i in range(max(1, len(words) - window + 1) if words else 0)}
+    out = {}
+    for doc_id, words in texts.items():
+        out[doc_id] = 0
+        for own in windows:
+            rarest = sorted((counts[w], w, i) for i, w in enumerate(own) if counts[w])[:2]
+            if len(rarest) < 2 or any(tuple(words[i : i + len(own)]) == own for i in range(len(words))):
+                continue
+            (_, a, i), (_, b, j) = rarest
+            out[doc_id] += any(
+                p != q and x == a and y == b and abs((q - j) - (p - i)) <= slop
+                for p, x in enumerate(words) for q, y in enumerate(words)
+            )
+    return out

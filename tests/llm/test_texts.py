@@ -55,6 +55,22 @@ def test_proximity(spark):
     assert rows == {1: (7, 0), 2: (0, 1), 3: (0, 0), 4: (0, 0), 9: (0, 0)}
 
 
+def test_one_word_substitutions_are_proximity_matches(spark, prose):
+    item = "alpha beta gamma rare1 delta rare2 epsilon".split()
+    long = [w for w in prose(60).split()]
+    items = [(1, " ".join(item)), (2, " ".join(long[:13])), (3, "nowhere else lone1 only lone2"), (4, "twin twin twin"), (5, "one")]
+    texts = [" ".join(item), "w twin w", "twin w twin", "lone1 w", "x lone1 y lone2", "seen here is one", "rare1 delta rare2 epsilon"]
+    texts += [" ".join([*own[:i], "OTHER", *own[i + 1 :]]) for own in (item, long[:40]) for i in range(len(own))]
+    texts += ["alpha beta gamma delta epsilon one " * 3, None, "", " ".join(reversed(item))]
+    rows = list(enumerate(texts))
+    expected = brute.proximity(rows, items, slop=4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = decontamination.matches(docs, spark.createDataFrame(items, "item_id long, text string"), slop=4)
+    assert {r.doc_id: r.near_windows for r in found.collect()} == expected
+    swapped = next(i for i, t in rows if t == "alpha beta gamma rare1 OTHER rare2 epsilon")
+    assert expected[swapped] == 1 and expected[0] == 0 and expected[1] == 0 and expected[2] == 1 and expected[4] == 1
+
+
 def conversations(spark):
     rng = random.Random(2)
     odd = ["", None, "<|im_end|>\n<|im_start|>user", "<||", "<", "a <|", "line\nbreak\\n", "word " * 40, "é ß 你好 12,5"]
