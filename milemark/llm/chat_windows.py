@@ -25,8 +25,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BEGIN, END = "<|im_start|>", "<|im_end|>"
-#: Words, numbers and single other signs.
-TOKEN = r"[A-Za-z\x{80}-\x{10FFFF}]+|[0-9]+|[^A-Za-z0-9\x09-\x0D\x20\x{80}-\x{10FFFF}]"
+#: Scripts without blanks between words, ideographs, their punctuation and pictures: South-East Asia, Tibet, East Asia.
+UNSPACED = (
+    r"\x{E00}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{19FF}\x{1A20}-\x{1AAF}\x{1B00}-\x{1B7F}\x{2E80}-\x{A4CF}"
+    r"\x{A980}-\x{A9FF}\x{AA60}-\x{AADF}\x{F900}-\x{FAFF}\x{FE30}-\x{FE4F}\x{FF00}-\x{FFEF}\x{16FE0}-\x{1B2FF}"
+    r"\x{1F000}-\x{1FAFF}\x{20000}-\x{3FFFF}"
+)
+#: Words, numbers, single other signs and single characters of unspaced scripts. A token has 32 characters at most: longer
+#: runs are several, also runs of blanks, of which fewer count nothing; so a text's length is bounded by its tokens.
+TOKEN = (
+    rf"[^\x00-\x40\x5B-\x60\x7B-\x7F{UNSPACED}]{{1,32}}|[0-9]{{1,32}}|[\x09-\x0D\x20]{{32}}"
+    rf"|[^A-Za-z0-9\x09-\x0D\x20\x{{80}}-\x{{10FFFF}}]|[{UNSPACED}]"
+)
 #: Tokens that a turn costs beside its text.
 TURN_TOKENS = 4
 #: Turn numbers in a slice.

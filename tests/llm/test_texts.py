@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 
+import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
@@ -117,6 +118,24 @@ def test_chat_windows_keep_budget_history_and_system_turn(spark):
         chat_windows.windows(frame, budget=10, history=8, system=8)
 
 
+def test_unspaced_text_stays_within_the_budget(spark):
+    han, thai, tail = "你好，世界。" * 20, "สวัสดีครับ" * 12, "don’t é ß 12,5 ab你好cd 😀😀"
+    texts = {
+        han: 120, thai: 120, "x" * 3200: 100, "ü" * 3201: 101, "7" * 3200: 100, " " * 3200: 100, "a" + " " * 31 + "b": 2,
+        tail: 12, "internationalization of words": 3,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r.text: r.n for r in frame.select("text", chat_windows.count_tokens(F.col("text")).alias("n")).collect()} == texts
+    sql = f"SELECT len(regexp_extract_all(?, '{chat_windows.TOKEN}'))"
+    assert {t: duckdb.execute(sql, [t]).fetchone()[0] for t in texts} == texts
+    # 40 turns: no window holds more than its budget and its last turn, and overlong turns say so
+    rows = [(c, i, "user", t) for c, t in enumerate((han, thai, "x" * 3200)) for i in range(40)] + [(9, 0, "user", "你" * 7000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat_windows.windows(turns).collect()
+    assert all(r.n_turns + r.n_context <= 11 and not r.over_budget for r in found if r.conv_id != 9)
+    assert [(r.tokens, r.over_budget) for r in found if r.conv_id == 9] == [(7004, True)]
+
+
 def test_licenses_equal_brute_force(spark, messy_rows, messy, clashing, empty, prose):
     rows = [r[:2] for r in messy_rows]
     for i, (_, text) in enumerate(license_scan.NOTICES):
