@@ -8,8 +8,9 @@ it, most of them close to where its bytes would lie if they were even. Rounds en
 tolerance or its interval is one key wide. Then each document goes to its place once.
 
 Each shard is cut into pieces by further splitters, as many as the rows need, so that positions inside a shard come
-from a sort of a piece and the exact rows before it; no task sees a shard. Driver and tasks hold numbers by piece
-(rows / ``rows_per_piece``), never by document.
+from a sort of a piece and the exact rows before it; no task sees a shard. Pieces of equal bytes that hold too many rows
+(empty or short texts that lie together) are cut again at splitters of the rows. Driver and tasks hold numbers by piece
+(about 2 rows / ``rows_per_piece`` at most), never by document.
 
 Defined cases: null text has no bytes but the 8 of its row; a null id hashes like 0; rows equal in id and text share
 one key, cannot be cut apart and are ordered among themselves by nothing that would show; fewer rows than shards
@@ -96,6 +97,26 @@ def splitters(keys: DataFrame, n: int, tolerance: float = 0.02, probes_each: int
     return cuts, np.diff(np.concatenate(([0], at, [int(rows.sum())])))
 
 
+def cut_pieces(
+    keys: DataFrame, n_shards: int, tolerance: float, rows_per_piece: int, least_pieces: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys that cut (key, size) into pieces, the exact rows of each piece and its shard. Shards are nearly equal
+    in bytes; no piece has more than ``rows_per_piece`` rows but for those of one key."""
+    total = keys.count()
+    pieces = max(least_pieces, math.ceil(total / n_shards / rows_per_piece))
+    cuts, rows = splitters(keys, n_shards * pieces, tolerance)
+    heavy = rows > rows_per_piece
+    if not heavy.any():
+        return cuts, rows, np.arange(len(rows)) // pieces
+    # parts so much smaller that they stay small enough with both borders at the end of their tolerance
+    part = max(1, rows_per_piece - 2 * max(1, math.ceil(tolerance * rows_per_piece)))
+    more, _ = splitters(keys.withColumn("size", F.lit(1).cast("long")), math.ceil(total / part), tolerance)
+    finer = np.unique(np.concatenate([cuts, more[heavy[np.searchsorted(cuts, more, side="right")]]]))
+    _, rows = _below(keys, finer)
+    begins = np.concatenate(([0], finer))
+    return finer, rows, np.searchsorted(cuts, begins, side="right") // pieces
+
+
 def shard(
     docs: DataFrame, n_shards: int = 24, tolerance: float = 0.02, rows_per_piece: int = 100_000, least_pieces: int = 4,
     id_col: str = "doc_id", text_col: str = "text",
@@ -105,11 +126,10 @@ def shard(
     scratch = Scratch(docs.sparkSession)
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + ROW_BYTES
     keys = scratch.keep(docs.select(sort_key(id_col, text_col).alias("key"), size.alias("size")), "shard_keys")
-    pieces = max(least_pieces, math.ceil(keys.count() / n_shards / rows_per_piece))
-    cuts, rows = splitters(keys, n_shards * pieces, tolerance)
+    cuts, rows, owner = cut_pieces(keys, n_shards, tolerance, rows_per_piece, least_pieces)
     scratch.drop(keys)
-    rows = rows.reshape(n_shards, pieces)
-    before = (np.cumsum(rows, axis=1) - rows).ravel()  # rows of the shard before each piece
+    before = np.cumsum(rows) - rows
+    before -= before[np.searchsorted(owner, owner)]  # rows of the shard before each piece
     shared = docs.sparkSession.sparkContext.broadcast(cuts)  # one number for each piece
 
     @F.pandas_udf("int")
@@ -123,12 +143,13 @@ def shard(
         F.struct(*others).alias("row"), F.col(id_col).alias("id"), size.alias("size"),
         sort_key(id_col, text_col).alias("key"), piece_of(sort_key(id_col, text_col)).alias("piece"),
     )
-    starts = docs.sparkSession.createDataFrame([(i, int(x)) for i, x in enumerate(before)], "place int, start long")
+    numbers = [(i, int(x), int(s)) for i, (x, s) in enumerate(zip(before, owner))]
+    starts = docs.sparkSession.createDataFrame(numbers, "place int, start long, owner int")
     rank = F.row_number().over(Window.partitionBy("piece").orderBy("key", "id", "size"))
     ranked = placed.withColumn("rank", rank)
     # one row for each piece
     found = ranked.join(F.broadcast(starts), ranked["piece"] == starts["place"])
     return found.select(
-        "row.*", "size", F.floor(F.col("piece") / pieces).cast("int").alias("shard"),
+        "row.*", "size", F.col("owner").alias("shard"),
         (F.col("start") + F.col("rank") - 1).alias("slot"),
     )

@@ -67,6 +67,24 @@ def test_shards_are_even_with_a_hot_group(spark, prose, empty):
     assert histogram_shards.shard(empty, 8).count() == 0
 
 
+def test_pieces_are_bounded_where_texts_are_empty(spark):
+    """A third of the rows are empty texts: next to nothing in bytes, one stretch of keys."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 3 > 0 THEN repeat(concat('text ', id, ' '), 40) END AS text")
+    keys = docs.select(histogram_shards.sort_key("doc_id", "text").alias("key"), F.expr("coalesce(octet_length(text), 0) + 8L").alias("size"))
+    _, by_bytes = histogram_shards.splitters(keys, 4 * 8)
+    cuts, rows, owner = histogram_shards.cut_pieces(keys, 4, 0.02, 100, 4)
+    assert by_bytes.max() > 800 and rows.max() <= 100 and rows.sum() == 3000 and len(rows) == len(cuts) + 1
+    found = histogram_shards.shard(docs, 4, rows_per_piece=100).collect()
+    plain = histogram_shards.shard(docs, 4, rows_per_piece=3000).collect()
+    for some in (found, plain):
+        for k in range(4):
+            own = [r for r in some if r.shard == k]
+            assert sorted(r.slot for r in own) == list(range(len(own)))
+            assert abs(sum(r["size"] for r in own) - sum(r["size"] for r in some) / 4) < 2500
+    assert len(found) == len({r.doc_id for r in found}) == 3000
+    assert set(owner) == {0, 1, 2, 3}
+
+
 def test_splitters_count_exactly(spark):
     rng = random.Random(1)
     data = [(rng.choice([5, 5, 5, 6, rng.randint(0, 1 << 62)]), rng.randint(1, 50)) for _ in range(2000)]
