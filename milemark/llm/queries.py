@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from milemark.llm import byte_bpe, chat_windows, decontamination, histogram_shards, host_quality, language_id, license_scan, line_dedup, simhash, toxicity
+from milemark.llm import byte_bpe, chat_windows, compression, decontamination, histogram_shards, host_quality, language_id, license_scan, line_dedup, simhash, toxicity
 from milemark.llm.registry import query, table
 
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
+#: Score from which a text counts as good.
+GOOD = 0.7
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -218,3 +220,17 @@ def op4(spark, sf):
 def op5(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.format_string("%016x", "fingerprint").alias("fingerprint"), "component_id")
+
+
+def quality_model(docs, labels):
+    train = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    return compression.train(docs.select("doc_id", "text"), labels.select("doc_id", "quality"), train)
+
+
+@query("op11_quality_classifier")
+def op11(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = compression.score(docs, quality_model(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted")
+    )
