@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from milemark.llm import byte_bpe, chat_windows, compression, decontamination, histogram_shards, host_quality, language_id, license_scan, line_dedup, simhash, toxicity
+from milemark.llm import byte_bpe, chat_windows, compression, decontamination, histogram_shards, host_quality, language_id, license_scan, line_dedup, prefix_trie, simhash, term_pipeline, toxicity
 from milemark.llm.registry import query, table
 
 #: Score from which a text counts as toxic.
@@ -234,3 +234,79 @@ def op11(spark, sf):
     return scored.select(
         "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted")
     )
+
+
+#: Lower-case words of a text, in the checking engine.
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(
+    term_pipeline.UPPER, term_pipeline.LOWER
+)
+
+
+@query(
+    "op13_ranked_search",
+    f"""
+    WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+    kept AS (SELECT r, doc_id, len(w) AS n, w FROM texts WHERE len(w) > 0),
+    wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+    counts AS (
+      SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM kept)
+      WHERE term IN (SELECT term FROM wanted) GROUP BY r, term),
+    sums AS (SELECT count(*) AS n_docs, sum(n)::bigint AS n_terms FROM kept),
+    weights AS (
+      SELECT term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint AS weight
+      FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), sums),
+    lengths AS (SELECT r, doc_id, 50 + (50 * n * n_docs) // n_terms AS m FROM kept, sums),
+    scored AS (
+      SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint AS score
+      FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (r) GROUP BY item_id, r, doc_id)
+    SELECT item_id, rank::int AS rank, doc_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+      FROM scored WHERE score > 0)
+    WHERE rank <= 50
+    """,
+)
+def op13(spark, sf):
+    return term_pipeline.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), top=50)
+
+
+#: Unsigned crc32 of a conversation's decimal id, in the checking engine: one step for each bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(c::varchar, ''),
+    lambda x: [ascii(x)::bigint, 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)"""
+
+
+@query(
+    "op12_prefix_trie",
+    f"""
+    WITH sized AS (
+      SELECT conv_id AS c, turn, length(coalesce(text, '')) AS chars,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+      FROM conversations WHERE conv_id IS NOT NULL),
+    turns AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest) AS place FROM sized),
+    convs AS (SELECT c, n, c - c % 100 AS base, {_CRC32} % 6 AS h FROM (SELECT c, count(*) AS n FROM turns GROUP BY c)),
+    rebuilt AS (
+      SELECT k.c, t.place, digest, chars FROM convs k JOIN turns t ON t.c = k.base AND t.place <= k.h
+      UNION ALL
+      SELECT k.c, t.place - k.h + least(k.h, coalesce(b.n, 0)), digest, chars
+      FROM convs k JOIN turns t ON t.c = k.c AND t.place > k.h LEFT JOIN convs b ON b.c = k.base),
+    paths AS (
+      SELECT c, place AS depth, chars, sha256(string_agg(digest, '') OVER (PARTITION BY c ORDER BY place)) AS name FROM rebuilt
+      UNION ALL SELECT c, 0, 0, '' FROM convs),
+    linked AS (SELECT *, lag(name) OVER (PARTITION BY c ORDER BY depth) AS parent FROM paths),
+    nodes AS (
+      SELECT name, min(parent) AS parent, min(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, max(chars) AS chars
+      FROM linked GROUP BY name),
+    kids AS (SELECT parent AS name, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+    own AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (name)),
+    totals AS (
+      SELECT p.name, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * o.chars) AS saved_tokens
+      FROM own o JOIN paths p ON p.c = o.conv_id AND p.depth <= o.depth GROUP BY p.name),
+    ends AS (
+      SELECT name, string_agg(c::varchar, ',' ORDER BY c) AS ids
+      FROM (SELECT c, arg_max(name, depth) AS name FROM paths GROUP BY c) GROUP BY name)
+    SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens::bigint AS saved_tokens,
+      sha256(coalesce(ids, '')) AS ends_sha256
+    FROM own o JOIN totals USING (name) LEFT JOIN ends USING (name) LEFT JOIN own p ON o.parent = p.name
+    """,
+)
+def op12(spark, sf):
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))

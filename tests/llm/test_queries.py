@@ -50,7 +50,10 @@ def folder(spark, rows, tmp_path_factory):
     return base
 
 
-@pytest.mark.parametrize("name", ["op1_quality_rules", "op3_line_dedup", "op7_decontamination", "op8_chat_formatting"])
+SQL_CHECKED = ["op1_quality_rules", "op3_line_dedup", "op7_decontamination", "op8_chat_formatting", "op12_prefix_trie", "op13_ranked_search"]
+
+
+@pytest.mark.parametrize("name", SQL_CHECKED)
 def test_equal_to_sql(spark, folder, name):
     db = duckdb.connect()
     for t in ("documents", "labels", "benchmark", "conversations"):
