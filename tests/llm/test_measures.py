@@ -1,11 +1,11 @@
-"""Quality rules, toxicity and language identification."""
+"""Quality rules and toxicity."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import brute
-from milemark.llm import host_quality, language_id, toxicity
+from milemark.llm import host_quality, toxicity
 
 
 def test_measures_equal_brute_force(messy_rows, messy, clashing):
@@ -50,9 +50,6 @@ def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(empty, labels, F.lit(True))
     assert model.prior == 0.0 and toxicity.score(empty, model).count() == 0
-    known = language_id.train(empty, F.lit(True))
-    assert language_id.identify(empty, known).count() == 0
-    assert known.predict("some text") == ("und", 0.0)
 
 
 @pytest.fixture(scope="module")
@@ -99,49 +96,3 @@ def test_risk_stays_non_negative():
     toxic = [[50, *r] for r in rows[:60]]
     w = toxicity.fit_nnpu(toxic, rows[60:] + [[50, *r] for r in rows[:30]], 51, 0.1, seed=0)
     assert w[50] == max(w[:51]) and np.isfinite(w).all()
-
-
-def test_language_backoff():
-    totals = np.array([100.0, 100.0])
-    keys = ["a", "a", "b", "b", " a", " a", "abc"]
-    grams, gram_logs = language_id.log_rows(keys, [0, 1, 0, 1, 0, 1, 0], [50, 50, 1, 50, 9, 1, 40], totals)
-    words, word_logs = language_id.log_rows(["known", "known"], [0, 1], [5, 1], totals)
-    assert np.allclose(word_logs[0], np.log([5.5 / 100.5, 1.5 / 100.5]))
-    model = language_id.Model(["x", "y"], words, word_logs, grams, gram_logs)
-    assert model.predict("known")[0] == "x"
-    gram = lambda g: model.by_gram.logs[model.by_gram[g]]
-    word = lambda w: model.by_word.logs[model.by_word[w]]
-    assert np.allclose(word("abc"), np.mean([gram(" abc"), gram("abc ")], axis=0))
-    # an unknown n-gram is the mean of the two shorter ones inside it
-    assert np.allclose(gram(" abc"), (gram(" ab") + gram_logs[grams.index("abc")]) / 2)
-    assert np.allclose(gram("qb"), (0 + gram_logs[grams.index("b")]) / 2)
-    assert model.predict("qq zz")[0] == "x"  # a tie goes to the first
-    assert model.predict("12 !?") == ("und", 0.0) and model.predict(None) == ("und", 0.0)
-
-
-def test_forgotten_words_are_worked_out_again(monkeypatch):
-    monkeypatch.setattr(language_id, "MEMORY", 5)
-    logs = np.array([[-1.0, -2.0]], np.float32)
-    model = language_id.Model(["x", "y"], ["k"], logs, ["q"], logs)
-    first = [model.predict(f"q{c}q k") for c in "abcdefghij"]
-    assert first == [model.predict(f"q{c}q k") for c in "abcdefghij"] and len(model.by_word) < 9
-
-
-def test_language_on_held_out_rows(spark, small, messy, clashing):
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    model = language_id.train(docs, ~held)
-    found = language_id.identify(docs, model).join(docs.where(held).where("lang is not null"), "doc_id")
-    assert found.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] >= 0.95
-    learned = set(model.languages)
-    for table in (messy, clashing):
-        rows = language_id.identify(table, model).collect()
-        assert len(rows) == messy.count()
-        assert {r.lang_pred for r in rows if r.doc_id in (1, 2, 3)} == {"und"}
-        assert all(r.lang_pred in learned | {"und"} and 0 <= r.score <= 1 for r in rows)
-
-
-def test_bounded_vocabulary(messy):
-    model = language_id.train(messy, F.lit(True), max_words=40, max_grams=10)
-    assert 0 < len(model.words) <= 40
-    assert all(sum(len(g) == n for g in model.grams) <= 10 for n in range(1, 5))
