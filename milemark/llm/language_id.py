@@ -39,6 +39,8 @@ UNDECIDED = "und"
 UNIT = 1_000_000
 #: Distinct pieces of text that a task counts before it hands them on, and that it remembers.
 HELD = 300_000
+#: Signs that often stand beside a word.
+SIGNS = ".,;:!?\"'()[]-#$%&*|<>"
 #: Characters up to which a piece is remembered whole; longer ones are cut into words first.
 SHORT = 64
 
@@ -51,6 +53,12 @@ def pieces(text: str) -> list[str]:
     return cut
 
 
+def words_of(piece: str) -> list[str]:
+    """The words of a piece; most pieces are one word and a sign."""
+    bare = piece.strip(SIGNS)
+    return [bare] if bare.isalpha() else WORD.findall(bare)
+
+
 def grams_of(word: str, n: int) -> list[str]:
     padded = f" {word} " if n > 1 else word
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
@@ -67,7 +75,7 @@ def _count_words(place: dict[str, int]):
             for lang, found in held.items():
                 counts: dict[str, int] = {}
                 for piece, times in found.items():
-                    for word in WORD.findall(piece):
+                    for word in words_of(piece):
                         counts[word] = counts.get(word, 0) + times
                 langs += [lang] * len(counts)
                 words += counts.keys()
@@ -170,28 +178,35 @@ def train(docs: DataFrame, train_rows: Column, head_words: int = 60_000) -> Mode
 
 
 class _Pieces(dict):
-    """Piece of text to row of a growing matrix: log sums of its head words and, last, its number of words.
-    ``tails`` has the other words of the pieces that have some. Forgets everything when it holds too much."""
+    """Piece of text to row of a growing matrix: log sums of its head words and, last, its number of words. Row 0 is a
+    single word outside the head, rows from 1 are the head's words. ``tails`` has the words outside the head of the
+    pieces that have some. Forgets all but the head when it holds too much."""
 
     def __init__(self, words: list[str], logs: np.ndarray):
         super().__init__()
-        self.place = dict(zip(words, range(len(words))))
-        self.logs = logs
-        self.rows = np.zeros((4096, logs.shape[1] + 1), np.int64)
-        self.tails: dict[int, list[str]] = {}
+        self.place = dict(zip(words, range(1, len(words) + 1)))
+        self.rows = np.zeros((len(words) + 4096, logs.shape[1] + 1), np.int64)
+        self.rows[1 : len(words) + 1, :-1] = logs
+        self.rows[: len(words) + 1, -1] = 1
+        self.tails: dict[str, list[str]] = {}
+        self.used = len(words) + 1
         self.held = 0
 
     def __missing__(self, piece: str) -> int:
-        row = len(self)
-        if row >= len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        words = WORD.findall(piece)
-        known = [i for w in words if (i := self.place.get(w)) is not None]
-        self.rows[row, :-1] = self.logs[known].sum(axis=0) if known else 0
-        self.rows[row, -1] = len(words)
-        if len(known) < len(words):
-            self.tails[row] = [w for w in words if w not in self.place]
         self.held += len(piece)
+        words = words_of(piece)
+        rest = [w for w in words if w not in self.place]
+        if rest:
+            self.tails[piece] = rest
+        if len(words) == 1:
+            row = self.place.get(words[0], 0)
+        else:
+            row = self.used
+            self.used += 1
+            if row >= len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[row] = sum((self.rows[self.place[w]] for w in words if w in self.place), np.zeros(self.rows.shape[1], np.int64))
+            self.rows[row, -1] = len(words)
         self[piece] = row
         return row
 
@@ -199,7 +214,7 @@ class _Pieces(dict):
         if len(self) > HELD or self.held > SHORT * HELD:
             self.clear()
             self.tails.clear()
-            self.held = 0
+            self.used, self.held = len(self.place) + 1, 0
 
     def read(self, text: str | None) -> tuple[np.ndarray, dict[str, int]]:
         """Sums of the whole text, and the counts of its words outside the head."""
@@ -210,10 +225,9 @@ class _Pieces(dict):
             return np.zeros(self.rows.shape[1], np.int64), {}
         total = np.fromiter(counts.values(), np.int64, len(at)) @ self.rows[at]
         rest: dict[str, int] = {}
-        for row, times in zip(at, counts.values()):
-            if row in self.tails:
-                for word in self.tails[row]:
-                    rest[word] = rest.get(word, 0) + times
+        for piece in counts.keys() & self.tails.keys():
+            for word in self.tails[piece]:
+                rest[word] = rest.get(word, 0) + counts[piece]
         return total, rest
 
 

@@ -98,8 +98,10 @@ def test_more_words_than_any_head(spark):
 
 def test_pieces_keep_every_word():
     for text in TEXTS[1:]:
-        words = [w for piece in language_id.pieces(text) for w in language_id.WORD.findall(piece)]
+        words = [w for piece in language_id.pieces(text) for w in language_id.words_of(piece)]
         assert words == language_id.WORD.findall(text.lower())
+    for piece in ("...", "a.b", "(x²)", "½", "-un-", "a_", "é", "e\u0301", "٣", "_", "'s"):
+        assert language_id.words_of(piece) == language_id.WORD.findall(piece)
 
 
 def test_forgotten_pieces_are_read_again(monkeypatch):
