@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from milemark.operators.ordered import bucket_count, prefix_sums, value_edges, with_bucket
+from milemark.operators.ordered import bucket_count, prefix_sums, ranged, value_edges, with_bucket
 from milemark.schemas import null_if_nan
 
 BOOTSTRAP_REPLICATES = 200
@@ -44,23 +44,15 @@ def _score_table(
     predictions: DataFrame,
     by: list[str] = [],
     weight: Column | None = None,
-    edges: list[float] | None = None,
 ) -> DataFrame:
     """Positives and negatives per distinct score, with running sums from the highest score down."""
     weight = F.lit(1) if weight is None else weight
     positive = F.col("y_true") > 0
     predictions = scored(predictions)
-    if edges is None:
-        edges = value_edges(predictions, ["y_pred"])["y_pred"]
-    counts = (
-        with_bucket(predictions, "y_pred", edges)
-        .groupBy(*by, "_bucket", "y_pred")
-        .agg(
-            F.sum(F.when(positive, weight).otherwise(0)).alias("tp"),
-            F.sum(F.when(positive, 0).otherwise(weight)).alias("fp"),
-        )
+    counts = predictions.groupBy(*by, "y_pred").agg(
+        F.sum(F.when(positive, weight).otherwise(0)).alias("tp"), F.sum(F.when(positive, 0).otherwise(weight)).alias("fp")
     )
-    return prefix_sums(counts, "y_pred", ["tp", "fp"], by=by, descending=True)
+    return prefix_sums(ranged(counts, [*by, "y_pred"], "scores"), "y_pred", ["tp", "fp"], by=by, descending=True)
 
 
 def _auc() -> Column:
@@ -120,7 +112,7 @@ def loss_concentration(predictions: DataFrame, order: str, key: str = "row_id")
     few rows whatever the value, because it holds few rows in all.
     """
     predictions = scored(predictions)
-    edges = value_edges(predictions, [order, key])
+    edges = value_edges(predictions, [key])
     placed = predictions.select(
         F.col(order).alias("score"), F.col(key).alias("key"), F.col("y_true").alias("loss")
     )
@@ -145,8 +137,7 @@ def loss_concentration(predictions: DataFrame, order: str, key: str = "row_id")
             F.sum(F.col("inner") + F.col("loss") * F.col("_rows_later")).alias("inner"),
         )
     )
-    bucketed = with_bucket(per_value, "score", edges[order])
-    return prefix_sums(bucketed, "score", ["n", "loss"], descending=True)
+    return prefix_sums(ranged(per_value, ["score"], "losses"), "score", ["n", "loss"], descending=True)
 
 
 def gini(predictions: DataFrame, order: str = "y_pred", key: str = "row_id") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from milemark.functions.driving import MS_PER_DAY
 from milemark.operators.cleaning import label_columns
-from milemark.operators.ordered import exact_quantiles, prefix_sums, value_edges, with_bucket
+from milemark.operators.ordered import exact_quantiles, prefix_sums, ranged
 
 HIGH_RISK_FACTOR = 1.5
 
@@ -99,9 +99,8 @@ def models_by_metric(summary: DataFrame, metric: str, descending: bool) -> DataF
 
     Places come from counts by figure and their running sums, so no window holds the whole summary.
     """
-    edges = value_edges(summary, [metric])[metric]
     counts = summary.filter(F.col(metric).isNotNull()).groupBy(metric).agg(F.count(F.lit(1)).alias("n"))
-    ranked = prefix_sums(with_bucket(counts, metric, edges), metric, ["n"], descending=descending)
+    ranked = prefix_sums(ranged(counts, [metric], "figures"), metric, ["n"], descending=descending)
     places = ranked.select(F.col(metric).alias("_figure"), (F.col("n_cum") - F.col("n") + 1).alias("place"))
     return summary.join(places, F.col(metric) == F.col("_figure"), "left").drop("_figure")
 

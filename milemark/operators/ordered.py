@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from milemark.schemas import null_if_nan
+from milemark.session import store
 
 DEFAULT_SLICE_MS = 900_000
 
@@ -141,16 +143,25 @@ def value_edges(df: DataFrame, columns: list[str]) -> dict[str, list[float]]:
 
 
 def with_bucket(df: DataFrame, value: str, edges: list[float], out: str = "_bucket") -> DataFrame:
-    """Add the number of edges up to ``value``, by a binary search in expressions; null and NaN get the last one."""
+    """Add the number of edges up to ``value``; null and NaN get the last one.
+
+    The edges are looked up by a binary search in one sorted array, so neither the plan nor the generated code grows
+    with their number.
+    """
+    if not edges:
+        return df.withColumn(out, F.lit(0))
+    search = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="_value", outputCol="_place", handleInvalid="keep")
+    placed = search.transform(df.withColumn("_value", F.coalesce(F.col(value).cast("double"), F.lit(math.nan))))
+    return placed.withColumn(out, F.least(F.col("_place").cast("int"), F.lit(len(edges)))).drop("_value", "_place")
 
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col("_value") < edges[middle], search(low, middle)).otherwise(search(middle + 1, high))
 
-    placed = df.withColumn("_value", F.col(value).cast("double"))
-    return placed.withColumn(out, search(0, len(edges))).drop("_value")
+def ranged(df: DataFrame, columns: list[str], name: str = "ranged") -> DataFrame:
+    """Rows dealt into ranges of ``columns`` (nulls first), with the number of the range in ``_bucket``.
+
+    Spark samples the ranges' ends, so they hold similar numbers of rows whatever the values, and no list of edges
+    reaches an expression. The rows are written once: ranges must be the same wherever they are read.
+    """
+    return store(df.repartitionByRange(*columns).withColumn("_bucket", F.spark_partition_id()), name)
 
 
 def prefix_sums(
@@ -189,27 +200,13 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     """(column, n, q0, q1, …): exact quantiles with linear interpolation, nulls and NaN left out; two
     equal values are their own middle, also if infinite.
 
-    Counts per distinct value are collapsed before the shuffle, ranks come from prefix sums.
+    Counts per distinct value are collapsed before the shuffle and dealt into ranges of (column, value); ranks come from
+    prefix sums inside a range and the ranges' totals. The rows are read once.
     """
-    edges = value_edges(df, columns)
     placed = df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    for c in columns:
-        placed = with_bucket(placed, c, edges[c], out=f"_b_{c}")
-    long = placed.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"_b_{c}").alias("_bucket"))
-                    for c in columns
-                ]
-            )
-        ).alias("s")
-    ).select("s.*")
-    counts = (
-        long.filter(F.col("value").isNotNull())
-        .groupBy("column", "_bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
+    long = placed.select(F.explode(F.array(*pairs)).alias("s")).select("s.*").filter(F.col("value").isNotNull())
+    counts = ranged(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), ["column", "value"], "quantiles")
     ranked = prefix_sums(counts, "value", ["n"], by=["column"])
 
     def at(rank: Column) -> Column:

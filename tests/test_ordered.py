@@ -72,6 +72,35 @@ def test_quantiles_match_numpy(spark, partitions):
         assert np.allclose([got[c][f"q{i}"] for i in range(5)], expected)
 
 
+def test_bucket_search_over_thousands_of_edges(spark):
+    from bisect import bisect_right
+
+    rng = random.Random(8)
+    edges = sorted({rng.uniform(-1e3, 1e3) for _ in range(4000)})
+    values = [*edges[::37], *(rng.uniform(-1100, 1100) for _ in range(500)), float("inf"), float("-inf"), float("nan"), None, 0.0, -0.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    for cuts in (edges, edges[:1], []):
+        placed = ordered.with_bucket(df, "v", cuts)
+        assert placed.columns == ["i", "v", "_bucket"]
+        wanted = [len(cuts) if v is None or v != v else bisect_right(cuts, v) for v in values]
+        assert [r["_bucket"] for r in placed.orderBy("i").collect()] == wanted
+    plan = ordered.with_bucket(df, "v", edges)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 10_000  # the edges are data, not expressions
+
+
+def test_ranges_hold_all_rows_in_order(spark):
+    df = spark.createDataFrame([(k, float(v % 97), v) for k in "ab" for v in range(500)] + [("c", None, 1)], "k string, v double, n long")
+    counts = df.groupBy("k", "v").agg(F.sum("n").alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = ordered.ranged(counts, ["k", "v"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) == 2 * 97 + 1
+    in_order = sorted(rows, key=lambda r: (r.k, r.v is not None, r.v or 0.0))
+    assert [r["_bucket"] for r in in_order] == sorted(r["_bucket"] for r in rows) and len({r["_bucket"] for r in rows}) > 1
+
+
 def test_statistics_match_pandas(spark):
     rng = np.random.default_rng(4)
     values = pd.DataFrame({"a": rng.normal(size=200), "b": rng.exponential(size=200), "k": 5.0})
