@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from milemark.catalog import inputs
 from milemark.catalog.cleaning import REASON_SQL
 from milemark.catalog.registry import CTES, ORACLES, query, with_ctes
-from milemark.operators import arrivals, ingest, monitoring
+from milemark.operators import arrivals, ingest, monitoring, recency
 from milemark.plans.medallion import ingest_batch
 from milemark.session import scratch_path, store
 from milemark.sources import readers
@@ -92,6 +92,28 @@ def wn2(spark, sf):
     return marked.select("arrival_no", "event_id", "is_duplicate")
 
 
+def sql_recent(rows: str, capacity: int) -> str:
+    """``marked``: whether fewer than ``capacity`` other ids came since an id's last arrival. Arrivals between that repeat
+    an id from between are no further ids."""
+    return f"""numbered_ids AS MATERIALIZED (SELECT arrival_no, event_id,
+        row_number() OVER (ORDER BY arrival_ms, arrival_no) AS i FROM {rows} WHERE event_id IS NOT NULL),
+      reuse AS MATERIALIZED (SELECT *, lag(i) OVER (PARTITION BY event_id ORDER BY i) AS p FROM numbered_ids),
+      far AS (SELECT f.i, any_value(f.i - f.p - 1) - count(n.i) AS others
+        FROM reuse f LEFT JOIN reuse n ON n.p > f.p AND n.i < f.i WHERE f.i - f.p - 1 >= {capacity} GROUP BY f.i),
+      marked AS (SELECT arrival_no, coalesce(i - p - 1 < {capacity} OR others < {capacity}, false) AS is_duplicate
+        FROM reuse LEFT JOIN far USING (i))"""
+
+
+@query(
+    "wn2_bounded",
+    f"""WITH reused AS ({inputs.for_duckdb(inputs.REUSED_IDS)}), {sql_recent('reused', recency.REMEMBERED_IDS)}
+        SELECT arrival_no, event_id, coalesce(is_duplicate, false) AS is_duplicate FROM reused LEFT JOIN marked USING (arrival_no)""",
+)
+def wn2_bounded(spark, sf):
+    """Only the last 10,000 distinct ids are remembered."""
+    return recency.mark_repeats(inputs.reused_ids(spark, sf), ["arrival_ms", "arrival_no"]).select("arrival_no", "event_id", "is_duplicate")
+
+
 @query(
     "wn3_rate_limit",
     with_ctes("", "arrivals", recursive=True).rstrip()
@@ -177,11 +199,11 @@ def _request_files(spark, sf, batches: int = 3) -> str:
     return path
 
 
-def _streamed(spark, sf, name) -> str:
+def _streamed(spark, sf, name, **options) -> str:
     """The folder that the streaming ingest filled from three micro-batches."""
     base = scratch_path(spark, name)
     requests = streaming.request_stream(spark, _request_files(spark, sf), FILES_PER_BATCH)
-    streaming.finish(streaming.ingest_stream(requests, inputs.device_keys(spark, sf), base, f"{base}/checkpoint"))
+    streaming.finish(streaming.ingest_stream(requests, inputs.device_keys(spark, sf), base, f"{base}/checkpoint", **options))
     return base
 
 
@@ -195,6 +217,22 @@ def sm2(spark, sf):
     return outcomes.select("arrival_no", (F.col("outcome") == "DUPLICATE_EVENT").alias("is_duplicate"))
 
 
+#: So few that ids come back after they were forgotten.
+_FEW_IDS = 3
+
+
+@query(
+    "sm2_bounded_cache",
+    with_ctes("", "verdicts").rstrip()
+    + f""", {sql_recent('(SELECT * FROM verdicts WHERE candidate)', _FEW_IDS)}
+    SELECT arrival_no, coalesce(is_duplicate, false) AS is_duplicate FROM verdicts LEFT JOIN marked USING (arrival_no)""",
+)
+def sm2_bounded(spark, sf):
+    """The last ids go from one micro-batch to the next, and no more than those."""
+    outcomes = spark.read.option("recursiveFileLookup", "true").parquet(f"{_streamed(spark, sf, 'sm2b', capacity=_FEW_IDS)}/outcomes")
+    return outcomes.select("arrival_no", (F.col("outcome") == "DUPLICATE_EVENT").alias("is_duplicate"))
+
+
 @query(
     "sm3_streaming_rate_limit",
     with_ctes("", "request_events", recursive=True).rstrip()

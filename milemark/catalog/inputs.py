@@ -61,6 +61,14 @@ SELECT event_id AS arrival_no,
 FROM {events}
 """
 
+# Ids that come back after few or very many others, one id that a third of the arrivals carry, some without id.
+REUSED_IDS = """
+SELECT l_orderkey*8 + l_linenumber AS arrival_no, cast(floor((l_orderkey*8 + l_linenumber) / 20) as bigint) AS arrival_ms,
+  CASE WHEN (part + l_orderkey) % 3 = 0 THEN 'hot' WHEN part % 50 = 0 THEN NULL
+       ELSE concat('ev-', cast((part*7919 + l_orderkey*31) % 25000 as {S})) END AS event_id
+FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part FROM {lineitem} GROUP BY l_orderkey, l_linenumber) x
+"""
+
 CLASS_PREDS = """
 SELECT doc_id AS row_id, cast(toxic as double) AS y_true,
   cast(((doc_id*37 + quality*11) % 101) as double) / 100 AS y_pred
@@ -162,6 +170,10 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_spark(spark, sf_dir, ARRIVALS)
 
 
+def reused_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return for_spark(spark, sf_dir, REUSED_IDS)
+
+
 def class_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_spark(spark, sf_dir, CLASS_PREDS)
 

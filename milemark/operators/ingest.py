@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from milemark.functions.hashing import hmac_pads, signature_ok
 from milemark.operators.arrivals import MAX_EVENTS_PER_WINDOW, WINDOW_MS, mark_duplicates, rate_limit
+from milemark.operators.recency import mark_repeats
 from milemark.operators.validation import OK, failure_reason
 from milemark.schemas import EVENTS
 from milemark.session import store
@@ -56,6 +57,8 @@ def classify(
     rate_limited: bool = True,
     seen: DataFrame | None = None,
     recent: DataFrame | None = None,
+    capacity: int | None = None,
+    cache: DataFrame | None = None,
     keep: Callable[[DataFrame, str], DataFrame] = store,
 ) -> DataFrame:
     """Add ``outcome`` and ``reason`` to requests (arrival_no, arrival_ms, body, signature).
@@ -64,6 +67,8 @@ def classify(
     limit, failing validation, accepted. An id counts as seen even if its event fails later.
     An arrival without id is no duplicate; it fails validation. ``seen`` (event_id) and ``recent``
     (driver_id and arrival time of arrivals within the limit) carry on from earlier requests.
+    With ``capacity`` an id counts as seen while it is among the last so many distinct ids, see
+    ``recency.mark_repeats``; ``cache`` holds those of earlier requests.
 
     Parsed and authenticated events are written once, and so are the narrow candidates with their
     duplicate marks and the flags of those that were turned away (by ``keep``, which the caller may
@@ -75,7 +80,11 @@ def classify(
     candidates = known.filter(F.col("is_json") & F.col("is_authorized")).select(
         *order, "event_id", "driver_id"
     )
-    marked = keep(mark_duplicates(candidates, order, seen=seen), "candidates")
+    if capacity is None:
+        repeated = mark_duplicates(candidates, order, seen=seen)
+    else:
+        repeated = mark_repeats(candidates, order, capacity=capacity, cache=cache, keep=keep)
+    marked = keep(repeated, "candidates")
     flags = marked.filter("is_duplicate").select(F.col(arrival_no).alias("_no"), F.lit("DUPLICATE_EVENT").alias("_flag"))
     if rate_limited:
         admitted = rate_limit(

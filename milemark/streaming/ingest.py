@@ -16,6 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from milemark.functions.driving import instant
 from milemark.operators import ingest, monitoring
 from milemark.operators.arrivals import MAX_EVENTS_PER_WINDOW, WINDOW_MS, rate_limit
+from milemark.operators.recency import remember
 from milemark.session import Scratch
 from milemark.sources import readers
 
@@ -80,7 +81,7 @@ def limit_rate_stream(
 
 def take_micro_batch(
     requests: DataFrame, device_keys: DataFrame, base: str, batch_id: int, remember_ms: int | None = None,
-    window_ms: int = WINDOW_MS, **limits,
+    window_ms: int = WINDOW_MS, capacity: int | None = None, **limits,
 ) -> None:
     """Classify one micro-batch with the operators of the batch path, and carry their state on.
 
@@ -88,10 +89,16 @@ def take_micro_batch(
     folders named after the batch so that repeating it replaces its files: ``bronze``, ``dead_letters``,
     ``outcomes`` (one narrow row per request), ``seen`` (ids) and ``recent`` (arrivals within the limit of
     the last window). ``remember_ms`` bounds how far back ids are looked up, in arrival time.
+
+    With ``capacity`` only the last so many distinct ids are remembered: ``cache`` holds them, at most ``capacity`` rows
+    for each micro-batch, so its work does not grow with the stream; ``seen`` is neither read nor written then.
     """
     spark = requests.sparkSession
     folder = f"batch={batch_id}"
-    seen = readers.optional(spark.read.schema("event_id string, arrival_ms long, batch long").parquet, f"{base}/seen")
+    cache = None
+    if capacity is not None and batch_id > 0:
+        cache = readers.optional(spark.read.schema("event_id string, turn long").parquet, f"{base}/cache/batch={batch_id - 1}")
+    seen = None if capacity is not None else readers.optional(spark.read.schema("event_id string, arrival_ms long, batch long").parquet, f"{base}/seen")
     if seen is not None:
         seen = seen.filter(F.col("batch") < batch_id)
         if remember_ms is not None:
@@ -101,16 +108,22 @@ def take_micro_batch(
     recent = _still_recent(spark, base, batch_id)
     with Scratch(spark) as scratch:
         classified = ingest.classify(
-            requests, device_keys, window_ms=window_ms, seen=seen, recent=recent, keep=scratch.keep, **limits
-        )
+            requests, device_keys, window_ms=window_ms, seen=seen, recent=recent, capacity=capacity, cache=cache,
+            keep=scratch.keep, **limits,
+        )
         ingest.accepted_events(classified).write.mode("overwrite").parquet(f"{base}/bronze/{folder}")
         ingest.dead_letters(classified).write.mode("overwrite").json(f"{base}/dead_letters/{folder}")
         narrow = classified.select("arrival_no", "arrival_ms", "event_id", "driver_id", "outcome", "reason")
         narrow.write.mode("overwrite").parquet(f"{base}/outcomes/{folder}")
     outcomes = spark.read.schema(narrow.schema).parquet(f"{base}/outcomes/{folder}")
     known = outcomes.filter(~F.col("outcome").isin("INVALID_JSON", "UNAUTHORIZED", "DUPLICATE_EVENT"))
-    ids = known.filter(F.col("event_id").isNotNull()).select("event_id", "arrival_ms")
-    ids.write.mode("overwrite").parquet(f"{base}/seen/{folder}")
+    if capacity is None:
+        ids = known.filter(F.col("event_id").isNotNull()).select("event_id", "arrival_ms")
+        ids.write.mode("overwrite").parquet(f"{base}/seen/{folder}")
+    else:
+        candidates = outcomes.filter(~F.col("outcome").isin("INVALID_JSON", "UNAUTHORIZED"))
+        held = remember(candidates, ["arrival_ms", "arrival_no"], capacity=capacity, cache=cache)
+        held.write.mode("overwrite").parquet(f"{base}/cache/{folder}")
     _write_recent(known.filter("outcome <> 'RATE_LIMIT_EXCEEDED'"), recent, base, batch_id, window_ms)
 
 
