@@ -145,10 +145,14 @@ def wn6(spark, sf):
 
 
 def _sql_weight(key: str) -> str:
-    digest = f"md5(concat_ws('|', cast({key} as varchar), cast(replicate as varchar), '42'))"
-    u = f"((cast(cast('0x' || substr({digest}, 1, 13) as bigint) as double) + 0.5) / 4503599627370496.0)"
+    digest = f"md5(concat_ws('|', cast({key} as varchar), '42'))"
+    half = lambda begin: f"cast('0x' || substr({digest}, {begin}, 7) as bigint)"
+    p = metrics.DRAW_PRIME
+    power = lambda y: f"((({y} * {y} % {p}) * ({y} * {y} % {p}) % {p}) * {y} % {p})"
     steps = " + ".join(f"(u >= {step!r}::double)::int" for step in _poisson_steps())
-    return f"(SELECT *, {steps} AS w FROM (SELECT *, {u} AS u FROM class_preds, range(1, 201) t(replicate)))"
+    first = f"SELECT *, ({half(1)} + replicate * {metrics.DRAW_STEP}) % {p} AS y1 FROM class_preds, range(1, 201) t(replicate)"
+    second = f"SELECT *, ({power('y1')} + {half(8)} + replicate) % {p} AS y2 FROM ({first})"
+    return f"(SELECT *, {steps} AS w FROM (SELECT *, ({power('y2')}::double + 0.5) / {p}::double AS u FROM ({second})))"
 
 
 def sql_bootstrap(metric: str) -> str:

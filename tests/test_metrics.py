@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -102,9 +103,27 @@ def test_bootstrap(spark):
     assert few["lower"] is None and few["used"] == 0
 
 
-def test_resample_weights_are_poisson():
-    w = metrics.resample_weights([str(i) for i in range(4000)], 1, 1)
-    assert abs(w.mean() - 1) < 0.06 and abs(w.var() - 1) < 0.12
+def drawn(n, replicates, seed):
+    """The weights of rows named 0, 1, 2, …, number by number."""
+    out = np.zeros((n, replicates), int)
+    for row in range(n):
+        digest = hashlib.md5(f"{row}|{seed}".encode()).hexdigest()
+        a, b = int(digest[:7], 16), int(digest[7:14], 16)
+        for k in range(1, replicates + 1):
+            first = pow((a + k * metrics.DRAW_STEP) % metrics.DRAW_PRIME, 5, metrics.DRAW_PRIME)
+            number = pow((first + b + k) % metrics.DRAW_PRIME, 5, metrics.DRAW_PRIME)
+            out[row, k - 1] = sum((number + 0.5) / metrics.DRAW_PRIME >= step for step in metrics._poisson_steps())
+    return out
+
+
+def test_resample_weights_are_poisson(spark):
+    w = drawn(3000, 8, 1)
+    rows = spark.range(3000).select(*metrics.draw_key(F.col("id"), 1)).toPandas()
+    assert (metrics.resample_weights(rows._a.to_numpy(), rows._b.to_numpy(), 8) == w).all()
+    assert np.abs(w.mean(axis=0) - 1).max() < 0.07 and np.abs(w.var(axis=0) - 1).max() < 0.15
+    # replicates, and neighbouring rows, are drawn apart
+    assert np.abs(np.corrcoef(w.T) - np.eye(8)).max() < 0.08
+    assert abs(np.corrcoef(w[:-1].ravel(), w[1:].ravel())[0, 1]) < 0.03
 
 
 @pytest.mark.parametrize("ties", [True, False])
@@ -112,7 +131,7 @@ def test_bootstrap_against_loops(spark, ties):
     rng = random.Random(9)
     rows = tied_rows(5, 150) if ties else [(int(rng.random() < 0.4), rng.random()) for _ in range(150)]
     df = frame(spark, rows)
-    weights = metrics.resample_weights([str(i) for i in range(len(rows))], 6, 42)
+    weights = drawn(len(rows), 6, 42)
     got = {m: {r["replicate"]: r["value"] for r in metrics.bootstrap_metric(df, m, 6).collect()} for m in ("AUC", "PR", "MAE")}
     for k in range(6):
         w = weights[:, k]
