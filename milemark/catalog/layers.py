@@ -13,7 +13,7 @@ from milemark.catalog.registry import (
 )
 from milemark.functions.driving import event_date
 from milemark.operators import cleaning, features, labels, trips, validation
-from milemark.plans import learning, medallion, monitoring, quality
+from milemark.plans import incremental, learning, medallion, monitoring, quality
 from milemark.schemas import EVENTS, SILVER_EVENTS, conform
 from milemark.session import scratch_path
 from milemark.sources import readers, writers
@@ -288,6 +288,29 @@ def jb4(spark, sf):
     )
 
 
+def _loads(spark, sf, n: int = 3) -> str:
+    """The raw events in ``n`` loads by order of arrival; copies of an event may come in different ones."""
+    base = scratch_path(spark, "loads")
+    events = readers.read_raw_events(spark, _raw_files(spark, sf))
+    first, last = events.agg(F.min("ingestion_ts"), F.max("ingestion_ts")).first()
+    span = F.floor((F.col("ingestion_ts") - first) * n / (last - first + 1))
+    for k in range(n):
+        events.where(span == k).write.parquet(f"{base}/raw/load={k}")
+        incremental.take_load(spark, f"{base}/raw/load={k}", base, k, buckets=8, compact_every=2)
+    return base
+
+
+@query("sm6_incremental_gold", with_ctes(f"SELECT {sql_features()} FROM gold", "gold"))
+def sm6_gold(spark, sf):
+    """After three loads the driver features equal those of one batch."""
+    return rounded(incremental.read_gold(spark, _loads(spark, sf), 2))
+
+
+@query("sm6_incremental_trips", with_ctes(f"SELECT {sql_trip_columns()} FROM trips", "trips"))
+def sm6_trips(spark, sf):
+    return rounded_trips(incremental.read_trips(spark, _loads(spark, sf), 2))
+
+
 @query(
     "jb5_training_set",
     with_ctes(f"SELECT {sql_features()}, claim_occurred, {r('claim_amount')} AS claim_amount FROM training", "training"),
