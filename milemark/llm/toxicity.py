@@ -15,7 +15,8 @@ model (at most ``max_features`` words and as many weights for each classifier) m
 text is scored, whole.
 
 Defined cases: null and empty texts have no features, so they get the score of the bias; rows without an id are scored
-but not learned from; several labels of one id count as toxic if one is; without any toxic training text all scores
+but not learned from; several labels of one id count as toxic if one is; where labels name toxic texts alone, their
+share among all texts is estimated; without any toxic training text, or without a sign that tells them apart, all scores
 are the prior (0 where nothing is known); repeated rows are scored each; other columns are ignored.
 """
 
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from milemark.llm.batches import Scratch, text_slices
+from milemark.llm.samples import smallest_hashes
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (3, 4, 5, 6)
@@ -45,18 +47,37 @@ def text_features(text: str | None) -> set[str]:
     return {s for word in set(WORD.findall((text or "").lower())) for s in _spellings(word)}
 
 
-def _sample(docs: DataFrame, labels: DataFrame, train, max_toxic: int, max_unlabelled: int) -> tuple[DataFrame, float]:
-    """(text, toxic) of the sample, and the share of toxic among the labelled training rows."""
+def _sample(docs: DataFrame, labels: DataFrame, train, max_toxic: int, max_unlabelled: int) -> tuple[DataFrame, float | None]:
+    """(text, toxic) of the sample, and the share of toxic among the labelled training rows; None if no row is labelled
+    as clean, since confirmed texts alone say nothing about their share."""
     known = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = docs.where(F.coalesce(train, F.lit(False))).select("doc_id").distinct().join(known, "doc_id", "left")
-    prior = ids.agg(F.avg("toxic")).first()[0] or 0.0
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    toxic = ids.where("toxic = 1").orderBy(*order).limit(max_toxic)
-    others = ids.where("toxic is null or toxic <> 1").orderBy(*order).limit(max_unlabelled)
-    chosen = toxic.unionByName(others).select("doc_id", (F.coalesce("toxic", F.lit(0)) == 1).alias("toxic"))
+    is_toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    ids = ids.select("doc_id", is_toxic.alias("toxic"), F.col("toxic").isNotNull().alias("labelled"))
+    n = ids.agg(F.count_if("toxic").alias("toxic"), F.count_if("labelled").alias("labelled"), F.count("*").alias("all")).first()
+    toxic = smallest_hashes(ids.where("toxic"), max_toxic, n.toxic)
+    others = smallest_hashes(ids.where("not toxic"), max_unlabelled, n.all - n.toxic)
+    chosen = toxic.unionByName(others).select("doc_id", "toxic")
     # bounded by the two limits
     texts = docs.join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
-    return texts.groupBy("text").agg(F.max("toxic").alias("toxic")), float(prior)
+    prior = n.toxic / n.labelled if n.labelled > n.toxic else 0.0 if not n.toxic else None
+    return texts.groupBy("text").agg(F.max("toxic").alias("toxic")), prior
+
+
+def estimate_prior(toxic: np.ndarray, unlabelled: np.ndarray, least_share: float = 0.3) -> float:
+    """The share of toxic texts among unlabelled ones, from how many signs each text has.
+
+    Unlabelled texts are toxic ones and others, so of any kind of text they have at least the share times as many as
+    the toxic ones have. The smallest such ratio bounds the share, and comes near it where other texts of that kind are
+    rare; kinds are "so many signs at least", as long as ``least_share`` of the toxic texts have them.
+    """
+    ratios = [1.0]
+    for least in range(1, int(toxic.max(initial=0)) + 1):
+        held = (toxic >= least).mean()
+        if held < least_share:
+            break
+        ratios.append((unlabelled >= least).mean() / held)
+    return float(np.clip(min(ratios), 1 / (len(unlabelled) + 2), 0.5))
 
 
 def _choose(sample: DataFrame, max_features: int, least: int = 3, z: float = 4.5, ratio: float = 3.0) -> list[str]:
@@ -91,7 +112,9 @@ def _without_kin(features: list[str]) -> list[str]:
     for feature in features:
         stem = feature.rstrip("*")
         own = {stem[:k] for k in range(1, len(stem) + 1)}
-        if stem not in beginnings and not own & stems:
+        # an exact word and the longer words that begin with it have no text's word in common
+        apart = feature.endswith("*") and stem in kept and not (own - {stem}) & stems
+        if apart or (stem not in beginnings and not own & stems):
             kept.append(feature)
             stems.add(stem)
             beginnings |= own
@@ -106,6 +129,21 @@ def _present(texts: list[str | None], place: dict[str, int]) -> list[list[int]]:
     return out
 
 
+def negative_risk(w: np.ndarray, xp: np.ndarray, xu: np.ndarray, prior: float) -> float:
+    """The corrected risk of the other class: logistic loss of the unlabelled rows less the toxic ones' part."""
+    return float(np.logaddexp(0, xu @ w).mean() - prior * np.logaddexp(0, xp @ w).mean())
+
+
+def step_direction(w: np.ndarray, xp: np.ndarray, xu: np.ndarray, prior: float) -> np.ndarray:
+    """Gradient of the whole risk, or where the corrected part is below zero that of its opposite, which lifts it."""
+    sp, su = (1 / (1 + np.exp(-np.clip(x @ w, -30, 30))) for x in (xp, xu))
+    if negative_risk(w, xp, xu, prior) >= 0:
+        gp, gu = np.full(len(sp), -prior / len(sp)), su / len(su)
+    else:
+        gp, gu = prior * sp / len(sp), -su / len(su)
+    return xp.T @ gp + xu.T @ gu
+
+
 def fit_nnpu(
     toxic: list[list[int]], unlabelled: list[list[int]], n_features: int, prior: float, seed: int,
     epochs: int = 60, batch: int = 400, rate: float = 0.02, decay: float = 1e-4,
@@ -124,7 +162,6 @@ def fit_nnpu(
     w[-1] = np.log(prior / (1 - prior))
     m, v, step = np.zeros_like(w), np.zeros_like(w), 0
     regular = np.r_[np.full(n_features, decay), 0]
-    chance = lambda x: 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
     batches = max(1, len(unlabelled) // batch)
     for _ in range(epochs):
         order, others = rng.permutation(len(toxic)), rng.permutation(len(unlabelled))
@@ -132,13 +169,7 @@ def fit_nnpu(
         for k, part in enumerate(np.array_split(others, batches)):
             xp = dense([toxic[i] for i in (order if few else np.array_split(order, batches)[k])])
             xu = dense([unlabelled[i] for i in part])
-            sp, su = chance(xp), chance(xu)
-            negative = -np.log1p(-np.minimum(su, 1 - 1e-7)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-7)).mean()
-            if negative >= 0:  # d/dz of p l(z) + [mean l(-z_u) - p l(-z)]
-                gp, gu = np.full(len(sp), -prior / len(sp)), su / len(su)
-            else:
-                gp, gu = prior * sp / len(sp), -su / len(su)
-            g = xp.T @ gp + xu.T @ gu + regular * w
+            g = step_direction(w, xp, xu, prior) + regular * w
             step += 1
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -162,11 +193,12 @@ class Model:
 
 def train(
     docs: DataFrame, labels: DataFrame, train_rows, max_toxic: int = 6000, max_unlabelled: int = 12000,
-    max_features: int = 4096,
+    max_features: int = 4096, prior: float | None = None,
 ) -> Model:
-    """Fit on (doc_id, text) with labels (doc_id, toxic) of the rows where ``train_rows`` holds."""
+    """Fit on (doc_id, text) with labels (doc_id, toxic) of the rows where ``train_rows`` holds. Without ``prior`` the
+    share of toxic texts is that among the labelled rows, or estimated if all of those are toxic."""
     scratch = Scratch(docs.sparkSession)
-    sample, prior = _sample(docs, labels, train_rows, max_toxic, max_unlabelled)
+    sample, seen = _sample(docs, labels, train_rows, max_toxic, max_unlabelled)
     sample = scratch.keep(sample.repartition(16), "toxic_sample")
     features = _choose(sample, max_features)
     place = {f: i for i, f in enumerate(features)}
@@ -177,11 +209,19 @@ def train(
                 rows = pa.array(_present(part.column("text").to_pylist(), place), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), part.column("part"), rows], ["toxic", "part", "features"])
 
-    if not features or not 0 < prior < 1:
+    if prior is None:
+        prior = seen
+    if not features or (prior is not None and not 0 < prior < 1):
         scratch.drop(sample)
-        return Model([], np.zeros((0, 1)), prior)
+        return Model([], np.zeros((0, 1)), 0.0 if prior is None else prior)
     parts = sample.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(CLASSIFIERS)).cast("int"))
     vectors = parts.mapInArrow(present, "toxic boolean, part int, features array<int>")
+    if prior is None:
+        # as many numbers as the sample has distinct counts of signs, of which there are few
+        vectors = scratch.keep(vectors, "toxic_vectors")
+        signs = vectors.groupBy("toxic", F.size("features").alias("n")).count().collect()
+        counts = [np.repeat([r.n for r in signs if r.toxic == k], [r["count"] for r in signs if r.toxic == k]).astype(int) for k in (True, False)]
+        prior = estimate_prior(*counts)
     # classifier k learns from the rows of all parts but its own
     bagged = vectors.select("*", F.explode(F.array(*map(F.lit, range(CLASSIFIERS)))).alias("k")).where("part <> k")
 

@@ -96,3 +96,51 @@ def test_risk_stays_non_negative():
     toxic = [[50, *r] for r in rows[:60]]
     w = toxicity.fit_nnpu(toxic, rows[60:] + [[50, *r] for r in rows[:30]], 51, 0.1, seed=0)
     assert w[50] == max(w[:51]) and np.isfinite(w).all()
+
+
+@pytest.mark.parametrize("above", [True, False])
+def test_step_is_the_gradient_of_the_risk(above):
+    rng = np.random.default_rng(3)
+    xp, xu = rng.normal(size=(40, 6)), rng.normal(size=(90, 6)) + 0.3
+    prior = 0.2 if above else 0.95
+    w = rng.normal(size=6)
+    if not above:
+        while toxicity.negative_risk(w, xp, xu, prior) >= 0:
+            w = rng.normal(size=6) * 2
+    assert (toxicity.negative_risk(w, xp, xu, prior) >= 0) == above
+
+    def risk(w):
+        positive = prior * np.logaddexp(0, -(xp @ w)).mean()
+        return positive + toxicity.negative_risk(w, xp, xu, prior) if above else -toxicity.negative_risk(w, xp, xu, prior)
+
+    numeric = [(risk(w + d) - risk(w - d)) / 2e-6 for d in np.eye(6) * 1e-6]
+    assert np.allclose(toxicity.step_direction(w, xp, xu, prior), numeric, atol=1e-6)
+
+
+def test_prior_from_counts_of_signs():
+    rng = np.random.default_rng(4)
+    toxic = rng.poisson(3, 400)
+    mixed = np.r_[rng.poisson(3, 300), (rng.random(2700) < 0.02).astype(int)]
+    assert 0.09 < toxicity.estimate_prior(toxic, mixed) < 0.13
+    assert toxicity.estimate_prior(toxic, np.zeros(100, int)) == 1 / 102
+    assert toxicity.estimate_prior(np.zeros(5, int), np.zeros(100, int)) == 0.5
+
+
+def test_toxicity_from_confirmed_texts_alone(insults):
+    """Labels name some of the toxic texts and nothing else; others hide among the rest."""
+    rows, docs, labels = insults
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    confirmed = labels.where("toxic = 1")
+    model = toxicity.train(docs, confirmed, ~held)
+    assert 0.02 < model.prior < 0.3 and len(model.weights)
+    scores = {r.doc_id: r.score for r in toxicity.score(docs.where(held), model).collect()}
+    toxic = {r[0]: r[2] for r in rows}
+    assert np.mean([scores[i] >= 0.3 for i in scores if toxic[i]]) >= 0.9
+    assert np.mean([scores[i] >= 0.3 for i in scores if not toxic[i]]) <= 0.05
+    given = toxicity.train(docs, confirmed, ~held, prior=0.2)
+    assert given.prior == 0.2
+
+
+def test_signs_of_one_word():
+    assert toxicity._without_kin(["loser", "los*", "loser*", "lose*"]) == ["loser", "loser*"]
+    assert toxicity._without_kin(["los*", "loser", "loser*", "idiot"]) == ["los*", "idiot"]
