@@ -7,10 +7,13 @@ position wanted for a splitter is not met within the tolerance, new probes are p
 it, most of them close to where its bytes would lie if they were even. Rounds end when every splitter is within its
 tolerance or its interval is one key wide. Then each document goes to its place once.
 
-Each shard is cut into pieces by further splitters, as many as the rows need, so that positions inside a shard come
-from a sort of a piece and the exact rows before it; no task sees a shard. Pieces of equal bytes that hold too many rows
-(empty or short texts that lie together) are cut again at splitters of the rows. Driver and tasks hold numbers by piece
-(about 2 rows / ``rows_per_piece`` at most), never by document.
+Each shard is cut into pieces by further splitters, as many as the bytes or the rows need, whichever are more, so that
+positions inside a shard come from a sort of a piece and the exact rows before it; no task sees a shard. Pieces of equal
+bytes that hold too many rows (empty or short texts that lie together) are cut again at splitters of the rows. Driver and
+tasks hold numbers by piece (about 2 rows / ``rows_per_piece`` and bytes / ``bytes_per_piece`` at most), never by document.
+
+A border of shards that cuts a group of equal texts moves to the nearer end of the group, if that is within half the
+tolerance of a shard, so that shards stay within the whole; a larger group is cut where the bytes want it.
 
 Defined cases: null text has no bytes but the 8 of its row; a null id hashes like 0; rows equal in id and text share
 one key, cannot be cut apart and are ordered among themselves by nothing that would show; fewer rows than shards
@@ -32,6 +35,8 @@ from milemark.llm.batches import Scratch
 ROW_BYTES = 8
 #: Key bits that come from the id.
 ID_BITS = 23
+#: Rows of the table of pieces up to which it is broadcast.
+BROADCAST_PIECES = 1_000_000
 TOP = 1 << 62
 
 
@@ -97,36 +102,55 @@ def splitters(keys: DataFrame, n: int, tolerance: float = 0.02, probes_each: int
     return cuts, np.diff(np.concatenate(([0], at, [int(rows.sum())])))
 
 
+def _whole_groups(keys: DataFrame, borders: np.ndarray, n_shards: int, tolerance: float) -> np.ndarray:
+    """The sorted shard borders, each moved to the nearer end of the group of equal texts that it cuts, where the bytes
+    below stay within half of ``tolerance`` of a shard of those wanted."""
+    first = borders >> ID_BITS << ID_BITS
+    ends = np.stack([first, np.where(borders > first, first + (1 << ID_BITS), first)])
+    probes = np.unique(np.concatenate([borders, ends.ravel()]))
+    size, _ = _below(keys, probes)
+    below = np.cumsum(size)[:-1]
+    total = int(size.sum())
+    away = np.abs(below[np.searchsorted(probes, ends)] - np.arange(1, n_shards) * total / n_shards)
+    best = away.argmin(axis=0)
+    moved = np.where(away.min(axis=0) <= tolerance / 2 * total / n_shards, ends[best, np.arange(len(borders))], borders)
+    return np.maximum.accumulate(moved)
+
+
 def cut_pieces(
-    keys: DataFrame, n_shards: int, tolerance: float, rows_per_piece: int, least_pieces: int
+    keys: DataFrame, n_shards: int, tolerance: float, rows_per_piece: int, least_pieces: int, bytes_per_piece: int = 256 << 20
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted keys that cut (key, size) into pieces, the exact rows of each piece and its shard. Shards are nearly equal
-    in bytes; no piece has more than ``rows_per_piece`` rows but for those of one key."""
-    total = keys.count()
-    pieces = max(least_pieces, math.ceil(total / n_shards / rows_per_piece))
+    in bytes; no piece has more than ``rows_per_piece`` rows but for those of one key, nor more than ``bytes_per_piece``
+    beyond the tolerance and the document at its border."""
+    total, size = keys.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    pieces = max(least_pieces, *(math.ceil(x / n_shards) for x in (total / rows_per_piece, size / bytes_per_piece)))
     cuts, rows = splitters(keys, n_shards * pieces, tolerance)
+    borders = cuts[pieces - 1 :: pieces]
+    moved = _whole_groups(keys, borders, n_shards, tolerance) if n_shards > 1 else borders
+    more = np.empty(0, np.int64)
     heavy = rows > rows_per_piece
-    if not heavy.any():
-        return cuts, rows, np.arange(len(rows)) // pieces
-    # parts so much smaller that they stay small enough with both borders at the end of their tolerance
-    part = max(1, rows_per_piece - 2 * max(1, math.ceil(tolerance * rows_per_piece)))
-    more, _ = splitters(keys.withColumn("size", F.lit(1).cast("long")), math.ceil(total / part), tolerance)
-    finer = np.unique(np.concatenate([cuts, more[heavy[np.searchsorted(cuts, more, side="right")]]]))
+    if heavy.any():
+        # parts so much smaller that they stay small enough with both borders at the end of their tolerance
+        part = max(1, rows_per_piece - 2 * max(1, math.ceil(tolerance * rows_per_piece)))
+        more, _ = splitters(keys.withColumn("size", F.lit(1).cast("long")), math.ceil(total / part), tolerance)
+        more = more[heavy[np.searchsorted(cuts, more, side="right")]]
+    # moved borders come beside the old ones, so pieces only get smaller
+    finer = np.unique(np.concatenate([cuts, moved, more]))
     _, rows = _below(keys, finer)
-    begins = np.concatenate(([0], finer))
-    return finer, rows, np.searchsorted(cuts, begins, side="right") // pieces
+    return finer, rows, np.searchsorted(moved, np.concatenate(([0], finer)), side="right")
 
 
 def shard(
     docs: DataFrame, n_shards: int = 24, tolerance: float = 0.02, rows_per_piece: int = 100_000, least_pieces: int = 4,
-    id_col: str = "doc_id", text_col: str = "text",
+    bytes_per_piece: int = 256 << 20, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with ``size`` (bytes of the text and ``ROW_BYTES``), ``shard`` (sizes nearly equal) and ``slot``
     (gapless from 0 in each shard), after one exchange of the documents."""
     scratch = Scratch(docs.sparkSession)
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + ROW_BYTES
     keys = scratch.keep(docs.select(sort_key(id_col, text_col).alias("key"), size.alias("size")), "shard_keys")
-    cuts, rows, owner = cut_pieces(keys, n_shards, tolerance, rows_per_piece, least_pieces)
+    cuts, rows, owner = cut_pieces(keys, n_shards, tolerance, rows_per_piece, least_pieces, bytes_per_piece)
     scratch.drop(keys)
     before = np.cumsum(rows) - rows
     before -= before[np.searchsorted(owner, owner)]  # rows of the shard before each piece
@@ -148,7 +172,8 @@ def shard(
     rank = F.row_number().over(Window.partitionBy("piece").orderBy("key", "id", "size"))
     ranked = placed.withColumn("rank", rank)
     # one row for each piece
-    found = ranked.join(F.broadcast(starts), ranked["piece"] == starts["place"])
+    small = F.broadcast(starts) if len(numbers) <= BROADCAST_PIECES else starts
+    found = ranked.join(small, ranked["piece"] == starts["place"])
     return found.select(
         "row.*", "size", F.col("owner").alias("shard"),
         (F.col("start") + F.col("rank") - 1).alias("slot"),

@@ -85,6 +85,31 @@ def test_pieces_are_bounded_where_texts_are_empty(spark):
     assert set(owner) == {0, 1, 2, 3}
 
 
+def test_pieces_are_bounded_where_texts_are_long(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "repeat(concat(id, ' '), 20000) AS text")
+    keys = docs.select(histogram_shards.sort_key("doc_id", "text").alias("key"), F.expr("octet_length(text) + 8L").alias("size"))
+    cuts, rows, owner = histogram_shards.cut_pieces(keys, 4, 0.02, 100_000, 1, bytes_per_piece=1 << 20)
+    held = np.zeros(len(rows), np.int64)
+    longest = 0
+    for row in keys.collect():
+        held[np.searchsorted(cuts, row.key, side="right")] += row["size"]
+        longest = max(longest, row["size"])
+    assert len(rows) >= 30 and held.max() <= 1.04 * (1 << 20) + 2 * longest and rows.sum() == 400
+    found = histogram_shards.shard(docs, 4, bytes_per_piece=1 << 20).groupBy("shard").agg(F.sum("size"), F.count("*"), F.max("slot")).collect()
+    assert len(found) == 4 and all(r[2] == r[3] + 1 for r in found)
+    sizes = [r[1] for r in found]
+    assert max(sizes) - min(sizes) <= 2 * longest + 0.04 * max(sizes)
+
+
+def test_borders_spare_small_groups(spark):
+    """Groups of six copies, far below the tolerance of a shard: none lies in two shards, and shards stay even."""
+    docs = spark.range(24000).selectExpr("id AS doc_id", "concat('text number ', floor(id / 6)) AS text")
+    found = histogram_shards.shard(docs, 5).groupBy("text").agg(F.count_distinct("shard")).where("`count(DISTINCT shard)` > 1")
+    assert found.count() == 0
+    sizes = [r[1] for r in histogram_shards.shard(docs, 5).groupBy("shard").agg(F.sum("size")).collect()]
+    assert len(sizes) == 5 and max(sizes) <= 1.04 * min(sizes)
+
+
 def test_splitters_count_exactly(spark):
     rng = random.Random(1)
     data = [(rng.choice([5, 5, 5, 6, rng.randint(0, 1 << 62)]), rng.randint(1, 50)) for _ in range(2000)]
