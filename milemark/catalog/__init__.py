@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["cleaning", "scalars", "aggregates", "metrics", "ingest", "windows", "layers", "learning"]
+MODULES = ["cleaning", "scalars", "aggregates", "metrics", "ingest", "windows", "layers", "learning", "closed_forms"]
 
 
 def load() -> None:
