@@ -11,8 +11,9 @@ from milemark.catalog.registry import (
     training_table, with_ctes,
 )
 from milemark.operators import distribution, features, labels, monitoring, trips
+from milemark.plans import profiles
 from milemark.schemas import SILVER_TRIPS, conform
-from milemark.session import store
+from milemark.session import scratch_path, store
 
 _TRIP_NUMBERS = [
     "ts_min", "ts_max", "speed_mps_mean", "speed_mps_max", "speed_mps_min", "accel_mps2_mean", "gyro_std",
@@ -276,6 +277,49 @@ def ag29(spark, sf):
     return rounded(distribution.profile(events, _PROFILED))
 
 
+def _sql_merged_profile(c: str) -> str:
+    skew = f"(avg(power({c} - m, 3)) / power(stddev_pop({c}), 3))"
+    return f"""SELECT '{c}' AS "column", count(*) AS rows, {r(f'100.0::double * count(*) FILTER ({c} IS NULL) / count(*)')} AS missing_pct,
+      {r(f'avg({c})')} AS mean, {r(f'var_samp({c})')} AS variance, {r(skew)} AS skewness, {r(f'min({c})::double')} AS min,
+      {r(f'max({c})::double')} AS max, min({c}) IS NOT DISTINCT FROM max({c}) AS is_constant,
+      coalesce(abs({skew}) > 1, false) AS is_skewed, count(DISTINCT {c}) AS exact_cardinality, true AS cardinality_near,
+      true AS quartiles_near
+    FROM telemetry, (SELECT avg({c}) AS m FROM telemetry) GROUP BY m"""
+
+
+@query("ag29_mergeable_profile", with_ctes(_long_sql(_sql_merged_profile(c) for c in _PROFILED), "telemetry"))
+def ag29_merged(spark, sf):
+    """The profile read off the parts of three loads; estimates are held against the rows: ranks of the quartiles within
+    1 %, cardinality within 5 %."""
+    events = store(inputs.telemetry(spark, sf).select("event_seq_no", *_PROFILED), "telemetry")
+    path = scratch_path(spark, "profile-parts")
+    for k in range(3):
+        profiles.add_load(events.where(F.col("event_seq_no") % 3 == k), _PROFILED, path, f"load{k}")
+    found = profiles.current(spark, path)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in _PROFILED]))
+    counted = (
+        events.select(cells.alias("s")).select("s.*").where("x IS NOT NULL").groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+    )
+    # one row for each profiled column
+    values = counted.join(F.broadcast(found.select("column", "q1", "median", "q3")), "column")
+    total = F.sum("n")
+    near = F.lit(True)
+    for name, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        below = F.sum(F.when(F.col("x") < F.col(name), F.col("n")).otherwise(0)) / total
+        upto = F.sum(F.when(F.col("x") <= F.col(name), F.col("n")).otherwise(0)) / total
+        near = near & (below <= q + 0.01) & (upto >= q - 0.01)
+    held = values.groupBy("column").agg(F.count(F.lit(1)).alias("exact_cardinality"), near.alias("quartiles_near"))
+    off = F.abs(F.col("cardinality") - F.col("exact_cardinality"))
+    return rounded(
+        found.join(held, "column", "left").select(
+            "column", "rows", "missing_pct", "mean", "variance", "skewness", "min", "max", "is_constant", "is_skewed",
+            F.coalesce("exact_cardinality", F.lit(0)).alias("exact_cardinality"),
+            F.coalesce(off <= F.greatest(F.lit(1.0), 0.05 * F.col("exact_cardinality")), F.col("cardinality") == 0).alias("cardinality_near"),
+            F.coalesce("quartiles_near", F.col("q1").isNull()).alias("quartiles_near"),
+        )
+    )
+
+
 _TOP = ["driver_id", "source", "weather", "vehicle_type"]
 
 
