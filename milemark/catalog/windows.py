@@ -1,4 +1,4 @@
-"""Queries for event-time windows: three micro-batches of shuffled files, some of whose rows come late or too late."""
+"""Queries for event-time windows and the stateful rate limit: three micro-batches of shuffled files, some of whose rows come late or too late."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from milemark.catalog.registry import query
 from milemark.session import scratch_path
 from milemark.streaming.ingest import finish
+from milemark.streaming.limiter import DECIDED, Instants, write_limited
 from milemark.streaming.windows import Windows, activity, count_late, write_activity
 
 FILES_PER_BATCH = 3
@@ -18,7 +19,7 @@ SESSIONS = Windows(gap="8 hours")
 _HOUR = 3_600_000_000
 # Ten days after the other; one row in ten comes a micro-batch later, and one in ten with the last.
 _PLACED = f"""placed AS MATERIALIZED (
-    SELECT user_id, value, us, CASE WHEN event_id % 10 = 7 THEN 2 WHEN event_id % 10 = 3 THEN least(span + 1, 2) ELSE span END AS batch
+    SELECT event_id, user_id, value, us, CASE WHEN event_id % 10 = 7 THEN 2 WHEN event_id % 10 = 3 THEN least(span + 1, 2) ELSE span END AS batch
     FROM (SELECT *, least((us - min(us) OVER ()) // {10 * 24 * _HOUR}, 2) AS span
       FROM (SELECT event_id, user_id, value, epoch_us(ts) AS us FROM events))),
   marks AS MATERIALIZED (
@@ -100,3 +101,45 @@ def sm7_late(spark, sf):
     base, stream = _streamed(spark, sf, TUMBLING, "sm7l")
     finish(count_late(stream, TUMBLING, base, f"{base}/checkpoint", f"{DELAY_HOURS} hours"))
     return spark.read.parquet(f"{base}/late").select("driver_id", "n_late", "furthest_ms")
+
+
+LIMIT, LIMIT_HOURS = 3, 12
+_LIMITED = f"""dealt AS MATERIALIZED (
+    SELECT user_id, event_id, us // 1000 AS ms, row_number() OVER (PARTITION BY user_id ORDER BY us // 1000, event_id) AS place
+    FROM placed, marks WHERE user_id IS NOT NULL AND NOT (batch = 2 AND us <= early) AND us // 1000 <= final // 1000),
+  fold AS (
+    SELECT user_id, event_id, ms, place, [ms] AS recent, true AS accepted FROM dealt WHERE place = 1
+    UNION ALL
+    SELECT user_id, event_id, ms, place, CASE WHEN len(kept) < {LIMIT} THEN list_append(kept, ms) ELSE kept END, len(kept) < {LIMIT}
+    FROM (SELECT d.*, list_filter(f.recent, lambda t: t >= d.ms - {LIMIT_HOURS * 3_600_000}) AS kept
+      FROM fold f JOIN dealt d ON d.user_id = f.user_id AND d.place = f.place + 1))"""
+
+
+@query(
+    "sm3_stateful_rate_limit",
+    f"WITH RECURSIVE {_PLACED}, {_LIMITED} SELECT user_id::varchar AS driver_id, ms AS at_ms, event_id AS number, accepted FROM fold",
+)
+def sm3_stateful(spark, sf):
+    """Verdicts in order of time over micro-batches with early and late rows, as far as the watermark came."""
+    base, stream = _streamed(spark, sf, TUMBLING, "sm3s")
+    finish(
+        write_limited(
+            stream, f"{base}/out", f"{base}/checkpoint", limit=LIMIT, window_ms=LIMIT_HOURS * 3_600_000, delay=f"{DELAY_HOURS} hours",
+            number="event_id",
+        )
+    )
+    return spark.read.schema(DECIDED).parquet(f"{base}/out")
+
+
+@query(
+    "sm3_undecided_rows",
+    f"""WITH {_PLACED}
+      SELECT user_id::varchar AS driver_id, count(*) AS n_late, max((early - us // 1000 * 1000) // 1000) AS furthest_ms
+      FROM placed, marks WHERE batch = 2 AND us <= early AND user_id IS NOT NULL GROUP BY user_id""",
+)
+def sm3_undecided(spark, sf):
+    """Arrivals that came behind the watermark, by driver."""
+    base, stream = _streamed(spark, sf, TUMBLING, "sm3u")
+    finish(count_late(stream, Instants(), base, f"{base}/checkpoint", f"{DELAY_HOURS} hours"))
+    found = spark.read.parquet(f"{base}/late")
+    return found.select(F.col("driver_id").cast("string").alias("driver_id"), "n_late", "furthest_ms")
