@@ -1,10 +1,12 @@
 """Line dedup over levelled sorted runs of line hashes. DataFrame functions only.
 
-A key is a line without blanks at its ends and with A-Z lower-cased, held as two 64-bit hashes. A run is a sorted
-table of keys with the number of documents that hold each and the largest of their ids. ``LineRuns.add`` anti-joins a
-new batch with the runs and writes the keys never seen as a run of level 0; the counts of the others go into additions
-beside it; when a level has ``fanout`` runs, they are merged into one
-run of the next level. A key so lives in one run, and a batch is compared with few tables, however many came before.
+A key is a line without blanks at its ends and with A-Z lower-cased, held as two 64-bit hashes. A run is a bucketed table
+of keys, each bucket one sorted file, with the number of documents that hold each key and the largest of their ids.
+``LineRuns.add`` merge-anti-joins a new batch with the runs, bucket by bucket, and writes the keys never seen as a run of
+level 0; the counts of the others go into additions beside it. When a level has ``fanout`` runs, they are merged into one
+run of the next level, and so are the additions; a single run takes the additions in. A key so lives in one run, and a
+batch is compared with few tables, however many came before. A batch is shuffled once, when it is bucketed; runs are
+neither shuffled nor sorted again to be joined; merging them, and reading the repeated keys off them, needs no shuffle.
 
 Counts are made by one row for each document and key, pre-aggregated before any shuffle; a line that a third of all
 documents hold is one row per task. The drop lists come from a join of the documents' keys with the repeated ones,
@@ -17,10 +19,13 @@ their lines where that id is the largest; other columns are kept, those named li
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milemark.llm.batches import Scratch
+from milemark.session import scratch_path
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,6 +55,7 @@ def counted(keyed: DataFrame) -> DataFrame:
 
 
 def _merged(parts: list[DataFrame]) -> DataFrame:
+    """Counts and largest ids added up, bucket by bucket: a union of tables with the same buckets keeps them."""
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -57,60 +63,91 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
 
 
 class LineRuns:
-    """Levelled sorted runs, in the shared folder."""
+    """Levelled sorted runs, in the shared folder; all in the same number of buckets (by default that of shuffles)."""
+
+    #: A bucket that is one file counts as sorted.
+    ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
-    def __init__(self, spark: SparkSession, fanout: int = 2):
-        self.scratch, self.fanout = Scratch(spark), fanout
+    def __init__(self, spark: SparkSession, fanout: int = 2, buckets: int | None = None):
+        self.spark, self.scratch, self.fanout = spark, Scratch(spark), fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.names: dict[int, str] = {}
         self.levels: list[list[DataFrame]] = []
         self.additions: list[DataFrame] = []
 
     def _write(self, keys: DataFrame, name: str) -> DataFrame:
-        return self.scratch.keep(keys.sortWithinPartitions("h1", "h2"), name)
+        """A table of one sorted file for each bucket; ``keys`` lie in the buckets already."""
+        path = scratch_path(self.spark, name)
+        table = os.path.basename(path).replace("-", "_")
+        before = self.spark.conf.get(self.ORDERED)
+        self.spark.conf.set(self.ORDERED, "true")
+        try:
+            writer = keys.write.format("parquet").option("path", path)
+            writer.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").saveAsTable(table)
+        finally:
+            self.spark.conf.set(self.ORDERED, before)
+        out = self.spark.table(table)
+        self.names[id(out)], self.scratch.paths[id(out)] = table, path
+        return out
+
+    def _forget(self, run: DataFrame) -> None:
+        self.spark.sql(f"DROP TABLE {self.names.pop(id(run))}")
+        self.scratch.drop(run)
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
     def unseen(self, keys: DataFrame) -> DataFrame:
-        """The keys that no run holds: an anti join by run, the largest run first."""
+        """The keys that no run holds: a merge anti join by run, the largest run first."""
         for run in reversed(self.runs()):
-            keys = keys.join(run.select("h1", "h2"), ["h1", "h2"], "left_anti")
+            keys = keys.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
         return keys
 
     def add(self, keys: DataFrame) -> None:
         """Take in the keys of a batch (as from ``counted``)."""
+        batch = self._write(keys.repartition(self.buckets, "h1", "h2"), "batch")
         if not self.levels:
-            self.levels.append([self._write(keys, "run")])
+            self.levels.append([batch])
             return
-        batch = self.scratch.keep(keys, "batch")
         fresh = self._write(self.unseen(batch), "run")
-        self.additions.append(self.scratch.keep(batch.join(fresh.select("h1", "h2"), ["h1", "h2"], "left_anti"), "additions"))
-        self.scratch.drop(batch)
+        known = batch.join(fresh.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+        self.additions.append(self._write(known, "additions"))
+        self._forget(batch)
         self.levels[0].append(fresh)
         self._compact()
 
+    def _merge(self, parts: list[DataFrame], name: str) -> DataFrame:
+        if len(parts) == 1:
+            return parts[0]
+        merged = self._write(_merged(parts), name)
+        for part in parts:
+            self._forget(part)
+        return merged
+
     def _compact(self) -> None:
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
-            merged = self._write(_merged(self.levels[level]), "run")
-            for run in self.levels[level]:
-                self.scratch.drop(run)
-            self.levels[level] = []
+            parts, self.levels[level] = self.levels[level], []
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[level + 1].append(merged)
+            # with no other run left, the additions belong to this one
+            if not self.runs():
+                parts, self.additions = [*parts, *self.additions], []
+            self.levels[level + 1].append(self._merge(parts, "run"))
             level += 1
+        if len(self.additions) >= self.fanout:
+            self.additions = [self._merge(self.additions, "additions")]
 
     def drop(self) -> None:
         for part in [*self.runs(), *self.additions]:
-            self.scratch.drop(part)
+            self._forget(part)
         self.levels, self.additions = [], []
 
     def repeated(self, least_docs: int) -> DataFrame:
-        """Keys that ``least_docs`` documents hold or more, over all batches."""
+        """The table of the keys that ``least_docs`` documents hold or more, over all batches."""
         parts = [*self.runs(), *self.additions]
         if not parts:
             raise ValueError("no batch was added")
-        # a key without additions lives in one run alone
         return _merged(parts).where(F.col("n_docs") >= least_docs)
 
 

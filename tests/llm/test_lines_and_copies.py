@@ -44,6 +44,21 @@ def test_runs_hold_each_key_once_and_compact(spark):
     assert got == {k: n for k, n in total.items() if n >= 3}
 
 
+def test_runs_are_joined_and_merged_without_a_shuffle(spark):
+    runs = line_dedup.LineRuns(spark, fanout=9)
+    for batch in range(3):
+        runs.add(spark.range(500).selectExpr(f"id * {batch + 1} AS h1", "id AS h2", "1L AS n_docs", "id AS max_id"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get(runs.ORDERED)
+    spark.conf.set(runs.ORDERED, "true")
+    unseen = plan(runs.unseen(runs.additions[0]))
+    spark.conf.set(runs.ORDERED, before)
+    assert unseen.count("SortMergeJoin") == 3 and "Exchange" not in unseen and "Sort [" not in unseen
+    assert "Exchange" not in plan(runs.repeated(2))
+    runs.drop()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("run_", "additions_", "batch_"))]
+
+
 def test_shards_hold_every_row_once(messy_rows, messy, clashing):
     for docs in (messy, clashing):
         rows = histogram_shards.shard(docs, 5, rows_per_piece=3).collect()
