@@ -6,7 +6,8 @@ of keys, each bucket one sorted file, with the number of documents that hold eac
 level 0; the counts of the others go into additions beside it. When a level has ``fanout`` runs, they are merged into one
 run of the next level, and so are the additions; a single run takes the additions in. A key so lives in one run, and a
 batch is compared with few tables, however many came before. A batch is shuffled once, when it is bucketed; runs are
-neither shuffled nor sorted again to be joined; merging them, and reading the repeated keys off them, needs no shuffle.
+neither shuffled nor sorted again to be joined, and merging them needs no shuffle. At the end all runs and additions are
+merged, and the repeated keys are read off the one that results.
 
 Counts are made by one row for each document and key, pre-aggregated before any shuffle; a line that a third of all
 documents hold is one row per task. The drop lists come from a join of the documents' keys with the repeated ones,
@@ -54,12 +55,14 @@ def counted(keyed: DataFrame) -> DataFrame:
     return rows.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("_id").alias("max_id"))
 
 
-def _merged(parts: list[DataFrame]) -> DataFrame:
-    """Counts and largest ids added up, bucket by bucket: a union of tables with the same buckets keeps them."""
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("max_id").alias("max_id"))
+def _merged(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Counts and largest ids of two tables added up, by a merge join of their buckets."""
+    same = (one["h1"] == other["h1"]) & (one["h2"] == other["h2"])
+    n = F.coalesce(one["n_docs"], F.lit(0)) + F.coalesce(other["n_docs"], F.lit(0))
+    return one.join(other.hint("merge"), same, "full_outer").select(
+        F.coalesce(one["h1"], other["h1"]).alias("h1"), F.coalesce(one["h2"], other["h2"]).alias("h2"),
+        n.alias("n_docs"), F.greatest(one["max_id"], other["max_id"]).alias("max_id"),
+    )
 
 
 class LineRuns:
@@ -117,11 +120,13 @@ class LineRuns:
         self._compact()
 
     def _merge(self, parts: list[DataFrame], name: str) -> DataFrame:
-        if len(parts) == 1:
-            return parts[0]
-        merged = self._write(_merged(parts), name)
-        for part in parts:
+        """One table of all, two at a time: what a full join returns has no buckets until it is written."""
+        merged = parts[0]
+        for part in parts[1:]:
+            both = self._write(_merged(merged, part), name)
+            self._forget(merged)
             self._forget(part)
+            merged = both
         return merged
 
     def _compact(self) -> None:
@@ -144,11 +149,13 @@ class LineRuns:
         self.levels, self.additions = [], []
 
     def repeated(self, least_docs: int) -> DataFrame:
-        """The table of the keys that ``least_docs`` documents hold or more, over all batches."""
+        """The keys that ``least_docs`` documents hold or more, over all batches, read off the runs, which become one."""
         parts = [*self.runs(), *self.additions]
         if not parts:
             raise ValueError("no batch was added")
-        return _merged(parts).where(F.col("n_docs") >= least_docs)
+        self.levels[-1], self.additions = [self._merge(parts, "run")], []
+        self.levels[:-1] = [[] for _ in self.levels[:-1]]
+        return self.levels[-1][0].where(F.col("n_docs") >= least_docs)
 
 
 def dedup_lines(

@@ -52,11 +52,15 @@ def test_runs_are_joined_and_merged_without_a_shuffle(spark):
     before = spark.conf.get(runs.ORDERED)
     spark.conf.set(runs.ORDERED, "true")
     unseen = plan(runs.unseen(runs.additions[0]))
+    merging = plan(line_dedup._merged(runs.runs()[0], runs.additions[0]))
     spark.conf.set(runs.ORDERED, before)
+    assert merging.count("SortMergeJoin") == 1 and "Exchange" not in merging and "Sort [" not in merging
     assert unseen.count("SortMergeJoin") == 3 and "Exchange" not in unseen and "Sort [" not in unseen
-    assert "Exchange" not in plan(runs.repeated(2))
+    found = {(r.h1, r.h2): r.n_docs for r in runs.repeated(2).collect()}
+    assert found == {(0, 0): 3} and len(runs.runs()) == 1 and not runs.additions
+    names = set(runs.names.values())
     runs.drop()
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("run_", "additions_", "batch_"))]
+    assert names and not names & {t.name for t in spark.catalog.listTables()}
 
 
 def test_shards_hold_every_row_once(messy_rows, messy, clashing):
