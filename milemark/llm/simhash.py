@@ -9,7 +9,8 @@ appears at the first chain start that holds, so once.
 
 Equal fingerprints are one vertex from the start, so thousands of copies cost one row; what is joined are distinct
 fingerprints. Components come from alternating star steps over written tables: groups are folded to minima, never
-collected.
+collected. Joins on fingerprints ask for a merge: Spark takes a generated side for as small as the table it is made
+from, and would send all keys of all fingerprints through the driver.
 
 Defined cases: null or blank texts have fingerprint zero and link like any other; texts of fewer words than a shingle
 are one shingle; repeated doc_ids get the same component where their fingerprints link; a null doc_id counts for no
@@ -108,6 +109,7 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     chains = _chains(F.col("low").bitwiseXOR(F.col("high")), widths)
     first = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(chains)])
     same = (F.col("low_start") == F.col("high_start")) & (F.col("low_key") == F.col("high_key"))
+    probes = probes.hint("merge")
     return index.join(probes, same & (F.col("low") < F.col("high")) & (first == F.col("low_start"))).select("low", "high")
 
 
@@ -122,10 +124,10 @@ def components(edges: DataFrame, scratch: Scratch, low: str = "low", high: str =
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = scratch.keep(large.where("u <> v").distinct(), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select("u", "v", "m")
+        small = large.join(least.hint("merge"), "u").select("u", "v", "m")
         small = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), "m"), F.struct("u", "m"))).alias("e"))
         after = scratch.keep(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct(), "edges")
         seen = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -147,11 +149,11 @@ def _grouped(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col
     row = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), "text_hash")
     distinct = scratch.keep(prints.groupBy("fingerprint").agg(F.min(row).alias("best")), "distinct")
     roots = scratch.keep(components(links(distinct, max_bits), scratch), "roots")
-    rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
+    rooted = distinct.join(roots.hint("merge"), distinct["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "best", F.coalesce("root", "fingerprint").alias("root")
     )
     best = rooted.groupBy("root").agg(F.min("best").alias("best"))
-    return prints, rooted.select("fingerprint", "root").join(best, "root").select("fingerprint", "root", "best")
+    return prints, rooted.select("fingerprint", "root").join(best.hint("merge"), "root").select("fingerprint", "root", "best")
 
 
 def near_duplicates(
@@ -160,7 +162,7 @@ def near_duplicates(
     """One row per document: the id column, ``fingerprint`` (long) and ``component_id``, the smallest id that is
     reachable over links of at most ``max_bits`` differing bits."""
     prints, members = _grouped(docs, shingle, max_bits, id_col, text_col)
-    return prints.join(members, "fingerprint").select(id_col, "fingerprint", F.col("best.id").alias("component_id"))
+    return prints.join(members.hint("merge"), "fingerprint").select(id_col, "fingerprint", F.col("best.id").alias("component_id"))
 
 
 def one_of_each(
@@ -172,7 +174,7 @@ def one_of_each(
     best = members.select("best.id", "best.text_hash").distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_hash"))
     same = rows["own_id"].eqNullSafe(best["id"]) & (rows["own_hash"] == best["text_hash"])
-    kept = rows.join(best, same, "left_semi")
+    kept = rows.join(best.hint("merge"), same, "left_semi")
     # equal ids with equal texts: the first copy by all its columns
     order = Window.partitionBy("own_id", "own_hash").orderBy("row")
     return kept.withColumn("copy", F.row_number().over(order)).where("copy = 1").select("row.*")

@@ -190,3 +190,10 @@ def test_long_chains_connect(spark):
 def test_size_is_the_text_plus_eight(messy):
     row = histogram_shards.shard(messy.where("doc_id = 9"), 2).first()
     assert row["size"] == len(row.text.encode()) + 8 and zlib.crc32(row.text.encode())
+
+
+def test_links_broadcast_no_side(spark):
+    """The keys of a fingerprint are many times its size: none of them may go through the driver."""
+    distinct = spark.range(50).select(F.xxhash64("id").alias("fingerprint"))
+    plan = simhash.links(distinct)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
