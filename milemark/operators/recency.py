@@ -23,8 +23,9 @@ from milemark.session import store
 # Fixed value: ids that the ingest path remembers.
 REMEMBERED_IDS = 10_000
 
-#: Arrivals in a slice, as multiple of the ids remembered.
+#: Arrivals in a slice, as multiple of the ids remembered, and at least.
 SLICE_FACTOR = 4
+LEAST_SLICE_ROWS = 40_000
 
 
 def earlier_greater(values: np.ndarray) -> np.ndarray:
@@ -102,11 +103,13 @@ def mark_repeats(
     ``order`` must be unique. Every arrival counts as its id's latest, duplicates too. Arrivals without an id are no
     duplicates and are not remembered. ``cache`` (key, ``turn``) are ids that arrived earlier, the latest with the
     greatest turn, as ``remember`` leaves them. Slices are ranges of the order with about ``slice_rows`` arrivals, so a
-    very frequent id or an instant of very many arrivals is no large task; no result depends on their ends.
+    very frequent id or an instant of very many arrivals is no large task; no result depends on their ends. However few
+    ids are remembered, a slice is worth a task.
     """
     if capacity < 1:
         raise ValueError("at least one id must be remembered")
-    n_slices = max(1, math.ceil(arrivals.count() / (slice_rows or SLICE_FACTOR * capacity)))
+    slice_rows = slice_rows or max(SLICE_FACTOR * capacity, LEAST_SLICE_ROWS)
+    n_slices = max(1, math.ceil(arrivals.count() / slice_rows))
     sliced = arrivals.repartitionByRange(n_slices, *order).withColumn("_slice", F.spark_partition_id())
     sliced = keep(sliced, "sliced")
     turn = F.lit(0).cast("long")

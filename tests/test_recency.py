@@ -82,3 +82,16 @@ def test_odd_arrivals(spark):
     assert marks(recency.mark_repeats(frame(spark, [None, None, "a", "a"]), order)) == [False, False, False, True]
     with pytest.raises(ValueError):
         recency.mark_repeats(frame(spark, ["a"]), order, capacity=0)
+
+
+def test_few_ids_make_no_small_slices(spark):
+    """However few ids are remembered, slices hold many arrivals."""
+    ids = draw(random.Random(4), 3000, 40)
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = df.localCheckpoint()
+        return kept[name]
+
+    assert marks(recency.mark_repeats(frame(spark, ids), ["arrival_ms", "arrival_no"], capacity=3, keep=keep)) == cached(ids, 3)[0]
+    assert kept["sliced"].select("_slice").distinct().count() == 1
