@@ -186,23 +186,26 @@ def snk5_bodies(spark, sf):
 
 
 FILES_PER_BATCH = 2
+ROWS_OF_A_FILE = 100_000
 
 
-def _request_files(spark, sf, batches: int = 3) -> str:
-    """The requests as JSON-lines files: as many files for each span of arrival times, one span after the other."""
+def _request_files(spark, sf, batches: int = 3) -> tuple[str, int]:
+    """The requests as JSON-lines files: as many files for each span of arrival times, one span after the other. Returns
+    the folder and the files of a span, two at least and more for large tables."""
     path = scratch_path(spark, "requests")
     requests = store(inputs.requests(spark, sf), "requests")
-    first, last = requests.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
+    first, last, n = requests.agg(F.min("arrival_ms"), F.max("arrival_ms"), F.count("*")).first()
     span = F.floor((F.col("arrival_ms") - first) * batches / (last - first + 1))
+    files = max(FILES_PER_BATCH, n // (batches * ROWS_OF_A_FILE))
     for k in range(batches):
-        requests.filter(span == k).repartition(FILES_PER_BATCH, "arrival_no").write.mode("append").json(path)
-    return path
+        requests.filter(span == k).repartition(files, "arrival_no").write.mode("append").json(path)
+    return path, files
 
 
 def _streamed(spark, sf, name, **options) -> str:
     """The folder that the streaming ingest filled from three micro-batches."""
     base = scratch_path(spark, name)
-    requests = streaming.request_stream(spark, _request_files(spark, sf), FILES_PER_BATCH)
+    requests = streaming.request_stream(spark, *_request_files(spark, sf))
     streaming.finish(streaming.ingest_stream(requests, inputs.device_keys(spark, sf), base, f"{base}/checkpoint", **options))
     return base
 
@@ -241,7 +244,7 @@ def sm2_bounded(spark, sf):
 )
 def sm3(spark, sf):
     base = scratch_path(spark, "sm3")
-    parsed = ingest.parse_events(streaming.request_stream(spark, _request_files(spark, sf), FILES_PER_BATCH)).filter("is_json")
+    parsed = ingest.parse_events(streaming.request_stream(spark, *_request_files(spark, sf))).filter("is_json")
     narrow = parsed.select("arrival_no", "arrival_ms", "driver_id")
     streaming.finish(streaming.limit_rate_stream(narrow, base, f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/decided").select("arrival_no", "driver_id", "accepted")
@@ -284,7 +287,7 @@ def sm5(spark, sf):
 )
 def snk6(spark, sf):
     base = scratch_path(spark, "snk6")
-    parsed = ingest.parse_events(streaming.request_stream(spark, _request_files(spark, sf), FILES_PER_BATCH)).filter("is_json")
+    parsed = ingest.parse_events(streaming.request_stream(spark, *_request_files(spark, sf))).filter("is_json")
     events = parsed.drop("arrival_no", "arrival_ms", "signature", "is_json", "_schema_ok", "arrived_at", "body")
     streaming.finish(streaming.write_bronze_stream(events, f"{base}/out", f"{base}/checkpoint"))
     return spark.read.schema(events.schema).parquet(f"{base}/out").groupBy("event_id").agg(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from milemark.functions.hashing import hmac_pads, signature_ok
 from milemark.operators.arrivals import MAX_EVENTS_PER_WINDOW, WINDOW_MS, mark_duplicates, rate_limit
+from milemark.operators.hot_keys import join_spread
 from milemark.operators.recency import mark_repeats
 from milemark.operators.validation import OK, failure_reason
 from milemark.schemas import EVENTS
@@ -39,12 +40,11 @@ def parse_events(requests: DataFrame, body: str = "body") -> DataFrame:
 def authenticate(
     parsed: DataFrame, device_keys: DataFrame, body: str = "body", signature: str = "signature"
 ) -> DataFrame:
-    """Add ``is_authorized``. The device table is joined without a hint: it grows with the fleet, so
-    Spark broadcasts it only while it is small, and splits a skewed driver otherwise."""
-    pads = hmac_pads(device_keys).withColumnRenamed("driver_id", "_device")
-    joined = parsed.join(pads, parsed["driver_id"] == pads["_device"], "left")
+    """Add ``is_authorized``. The device table grows with the fleet; requests of a busy driver are dealt to several
+    tasks, see ``join_spread``, which passes over ``parsed`` twice."""
+    joined = join_spread(parsed, hmac_pads(device_keys), "driver_id").select(*parsed.columns, "inner_pad", "outer_pad")
     ok = signature_ok(F.col("inner_pad"), F.col("outer_pad"), F.col(body), F.col(signature))
-    return joined.withColumn("is_authorized", ok).drop("_device", "inner_pad", "outer_pad")
+    return joined.withColumn("is_authorized", ok).drop("inner_pad", "outer_pad")
 
 
 def classify(
@@ -70,11 +70,11 @@ def classify(
     With ``capacity`` an id counts as seen while it is among the last so many distinct ids, see
     ``recency.mark_repeats``; ``cache`` holds those of earlier requests.
 
-    Parsed and authenticated events are written once, and so are the narrow candidates with their
+    Parsed events are written once, so are authenticated ones, and so are the narrow candidates with their
     duplicate marks and the flags of those that were turned away (by ``keep``, which the caller may
     use to delete them after the job).
     """
-    known = keep(authenticate(parse_events(requests), device_keys), "requests")
+    known = keep(authenticate(keep(parse_events(requests), "parsed"), device_keys), "requests")
     order = [arrival_ms, arrival_no]
 
     candidates = known.filter(F.col("is_json") & F.col("is_authorized")).select(
