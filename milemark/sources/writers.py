@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from milemark.functions.hashing import config_fingerprint
 
 MAX_BRONZE_FILE_ROWS = 50_000
+MAX_LETTER_FILE_ROWS = 200_000
 PREVIEW_ROWS = 20
 
 
@@ -44,9 +45,10 @@ def write_gold(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def append_dead_letters(letters: DataFrame, path: str) -> None:
-    """JSON lines: the event's known fields and ``_dlq_reason``."""
-    letters.write.mode("append").json(path)
+def append_dead_letters(letters: DataFrame, path: str, max_rows: int = MAX_LETTER_FILE_ROWS) -> None:
+    """JSON lines: the event's known fields and ``_dlq_reason``. Names and values repeat in every line, so files are
+    compressed; one task reads a compressed file, hence its limit of rows."""
+    letters.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", max_rows).json(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -135,3 +135,20 @@ def test_shared_folder_follows_the_session(spark):
 
 def test_event_date_column(spark):
     assert spark.range(1).select(event_date(F.lit(0).cast("bigint"))).first()[0] == "1970-01-01"
+
+
+def test_dead_letters_are_compressed_in_bounded_files(spark, make_events):
+    letters = make_events(*[{}] * 50).coalesce(1).withColumn("_dlq_reason", F.lit("LAT_LON_OUT_OF_RANGE"))
+    path = scratch_path(spark, "letters")
+    for _ in range(2):
+        writers.append_dead_letters(letters, path, max_rows=20)
+    files = [r.filename for r in readers.file_inventory(spark, path, "part-*").collect()]
+    assert len(files) == 6 and all(f.endswith(".json.gz") for f in files)
+    assert readers.read_dead_letters(spark, path).groupBy("event_id").count().where("count = 2").count() == 50
+
+
+def test_deduplicated_events_are_not_sorted_again(make_events):
+    events = make_events({}, {"lat": 99.0})
+    once = medallion.clean(events, deduplicated=True)
+    assert "Window" not in once._jdf.queryExecution().executedPlan().toString()
+    assert once.collect() == medallion.clean(events).collect()
