@@ -80,7 +80,7 @@ def take_load(
         ids = fresh.select("event_id", bucket_of("event_id", buckets).alias("bucket"))
         touched = {"ids": _write(ids, base, "ids", load)}
 
-        events = medallion.clean(fresh, **cleaning_options)
+        events = medallion.clean(fresh, deduplicated=True, **cleaning_options)
         events.write.mode("overwrite").parquet(f"{base}/silver/load={load}")
         events = spark.read.schema(events.schema).parquet(f"{base}/silver/load={load}")
         parts = partials.trip_partials(events, limit_unit)

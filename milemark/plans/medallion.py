@@ -41,9 +41,11 @@ def clean(
     check_heading: bool = False,
     sessions: bool = False,
     monotonic_odometer: bool = False,
+    deduplicated: bool = False,
 ) -> DataFrame:
-    """Bronze → Silver events. Heading, sessions and odometer checks are off unless asked for."""
-    events = cleaning.sanity_filter(cleaning.dedup_events(bronze_events))
+    """Bronze → Silver events. Heading, sessions and odometer checks are off unless asked for. Events that are
+    ``deduplicated`` already are not sorted once more for it."""
+    events = cleaning.sanity_filter(bronze_events if deduplicated else cleaning.dedup_events(bronze_events))
     if check_heading:
         events = cleaning.heading_filter(events)
     events = cleaning.drop_bad_enums(events) if drop_invalid_enums else cleaning.remap_bad_enums(events)
