@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from milemark.catalog import inputs
-from milemark.catalog.registry import CTES, FEATURE_NAMES, gold, query, r, rounded, sql_uniform, training, with_ctes
+from milemark.catalog.registry import CTES, FEATURE_NAMES, gold, query, r, rounded, sql_uniform, training, training_table, with_ctes
 from milemark.models import scoring
 from milemark.models.estimators import SPECS, SPECS_BY_NAME
 from milemark.models.frames import frequency_frame, severity_frame
@@ -43,9 +43,9 @@ def _side(spec) -> str:
     return f"{spec.kind.lower()}_test"
 
 
-def _frame(spec, spark, sf):
+def _frame(spec, data):
     make = frequency_frame if spec.kind == "Frequency" else severity_frame
-    return make(training(spark, sf))
+    return make(data)
 
 
 def _checked(predictions, kind: str):
@@ -65,7 +65,7 @@ def _model_query(name: str, model: str) -> None:
     @query(name, _checked_sql(spec))
     def fit_and_predict(spark, sf):
         """Test predictions of the model: which drivers, with which outcome, and whether each is a prediction."""
-        frame = _frame(spec, spark, sf)
+        frame = _frame(spec, training_table(spark, sf))
         return _checked(scoring.predict(spec.fit(frame).model, frame.test, spec.kind), spec.kind)
 
 
@@ -88,7 +88,7 @@ _model_query("ml7_gamma_glm", "severity_gamma_glm")
 )
 def ml8(spark, sf):
     """Calibration bins of the logistic model, summed up again."""
-    frame = frequency_frame(training(spark, sf))
+    frame = frequency_frame(training_table(spark, sf))
     fitted = SPECS_BY_NAME["frequency_logit"].fit(frame)
     predictions = scoring.predict(fitted.model, frame.test, "Frequency")
     bins = metrics.calibration_table(store(predictions, "calibrated"))
@@ -112,10 +112,10 @@ def ml8(spark, sf):
 )
 def ml9(spark, sf):
     """Metrics with intervals of a frequency and a severity model, side by side; each metric lies in its interval."""
-    rows = []
+    rows, data = [], training_table(spark, sf)
     for model, bounded in (("frequency_logit", ["AUC", "PR"]), ("severity_linreg", ["MAE"])):
         spec = SPECS_BY_NAME[model]
-        row = learning.train_one(spec, _frame(spec, spark, sf), intervals=True).metrics
+        row = learning.train_one(spec, _frame(spec, data), intervals=True).metrics
         inside = [F.col(m).between(F.col(f"{m}_CI_low"), F.col(f"{m}_CI_high")) for m in bounded]
         rows.append(row.withColumn("in_interval", reduce(lambda a, b: a & b, inside)))
     return metrics.compare_models(rows).select("Model", "n_test", "was_split", "in_interval")
@@ -152,12 +152,13 @@ def ml10(spark, sf):
 
     base = scratch_path(spark, "ml10")
     spec = SPECS_BY_NAME["severity_linreg"]
+    data = training_table(spark, sf)
     learning.train_models(
-        training(spark, sf), f"{base}/models", f"{base}/predictions", f"{base}/summary", f"{base}/registry", [spec]
+        data, f"{base}/models", f"{base}/predictions", f"{base}/summary", f"{base}/registry", [spec]
     )
     entry = monitoring.latest_per_model(readers.read_registry(spark, f"{base}/registry"))
     model = PipelineModel.load(entry.first()["artifact"])
-    again = scoring.predict(model, severity_frame(training(spark, sf)).test, spec.kind)
+    again = scoring.predict(model, severity_frame(data).test, spec.kind)
     stored = readers.read_table(spark, f"{base}/predictions/{spec.name}").select("driver_id", F.col("y_pred").alias("stored"))
     near = F.abs(F.col("y_pred") - F.col("stored")) <= 1e-9 * (1 + F.abs("stored"))
     return again.join(stored, "driver_id", "full_outer").select("driver_id", F.coalesce(near, F.lit(False)).alias("same"))
@@ -250,8 +251,8 @@ def ml12(spark, sf):
 def jb7(spark, sf):
     """Without a summary the default models score; the manifest names them."""
     base = scratch_path(spark, "jb7")
-    data = training(spark, sf)
-    data.write.parquet(f"{base}/training")
+    training(spark, sf).write.parquet(f"{base}/training")
+    data = readers.read_table(spark, f"{base}/training")
     frames = {"Frequency": frequency_frame(data), "Severity": severity_frame(data)}
     # small models under the default names
     for name, small in ((monitoring.DEFAULT_FREQUENCY_MODEL, "frequency_logit"), (monitoring.DEFAULT_SEVERITY_MODEL, "severity_linreg")):
@@ -276,10 +277,10 @@ def jb7(spark, sf):
 )
 def ml13(spark, sf):
     """Coefficients of a linear and importances of a tree model; importances sum to 1."""
-    rows = []
+    rows, data = [], training_table(spark, sf)
     for model in ("severity_linreg", "frequency_rf"):
         spec = SPECS_BY_NAME[model]
-        frame = _frame(spec, spark, sf)
+        frame = _frame(spec, data)
         weights = scoring.feature_weights(spec.fit(frame).model, frame.features, spark)
         total = weights.agg(F.sum("weight")).scalar()
         whole = (F.col("kind") != "importance") | ((F.col("weight") >= 0) & (F.abs(total - 1) < 1e-6))

@@ -13,6 +13,7 @@ from milemark.operators.metrics import class_weights
 from milemark.session import store
 
 MIN_SPLIT_ROWS = 10
+FRAME_FILE_ROWS = 10_000
 
 
 @dataclass
@@ -41,8 +42,8 @@ def _frame(labelled: DataFrame, label: Column, positive: Column, seed: int, min_
         # a feature that could not be computed counts as 0, as in the risk score
         *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features],
     )
-    # iterative solvers read the rows many times: written once, in files of a sensible size
-    rows = store(rows.hint("rebalance"), "model-frame")
+    # iterative solvers pass over the rows many times: written once, in files so small that all cores get some
+    rows = store(rows.hint("rebalance"), "model-frame", FRAME_FILE_ROWS)
     usable = split_is_usable(rows, "_positive", min_rows).first()["usable"]
     rows = rows.drop("_positive")
     if not usable:

@@ -99,3 +99,21 @@ def test_trees_are_configured_as_stated(data):
     frame = frames.frequency_frame(data)
     model = estimators.fit_forest(frame).model.stages[-1]
     assert model.getNumTrees == 200 and model.getMaxDepth() == 5
+
+
+def test_frames_are_files_for_many_tasks(data, monkeypatch):
+    monkeypatch.setattr(frames, "FRAME_FILE_ROWS", 50)
+    assert len(frames.frequency_frame(data).train.inputFiles()) >= 6
+
+
+@pytest.mark.parametrize("name", ["ml13_feature_weights", "ml10_saved_model"])
+def test_queries_build_their_training_set_once(spark, monkeypatch, name):
+    from milemark.catalog import learning as catalog
+    from milemark.catalog import registry
+
+    built = []
+    table = registry.training_table
+    monkeypatch.setattr(catalog, "training_table", lambda *a: built.append(1) or table(*a))
+    monkeypatch.setattr(catalog, "training", lambda *a: pytest.fail("a training set that is not written"))
+    registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert built == [1]
