@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milemark.functions.hashing import uniform
+from milemark.models.boosting import fit_boosted
 from milemark.models.frames import ModelFrame, add_class_weight
 from milemark.operators.labels import SEED
 
@@ -118,7 +119,7 @@ def fit_forest(frame: ModelFrame, seed: int = SEED) -> Fitted:
 def fit_boosted_classifier(frame: ModelFrame, seed: int = SEED) -> Fitted:
     train = add_class_weight(frame.train, "positive_ratio")
     boosted = GBTClassifier(labelCol="label", weightCol="weight", seed=seed, **BOOSTING)
-    return Fitted(Pipeline(stages=[*_assembled(frame.features, False), boosted]).fit(train))
+    return Fitted(PipelineModel([*_assembled(frame.features, False), fit_boosted(train, frame.features, boosted)]))
 
 
 def fit_linear(frame: ModelFrame, seed: int = SEED) -> Fitted:
