@@ -129,7 +129,7 @@ def fit_linear(frame: ModelFrame, seed: int = SEED) -> Fitted:
 
 def fit_boosted_regressor(frame: ModelFrame, seed: int = SEED) -> Fitted:
     boosted = GBTRegressor(labelCol="label", seed=seed, **BOOSTING)
-    return Fitted(Pipeline(stages=[*_assembled(frame.features, False), boosted]).fit(frame.train))
+    return Fitted(PipelineModel([*_assembled(frame.features, False), fit_boosted(frame.train, frame.features, boosted)]))
 
 
 def fit_gamma(frame: ModelFrame, seed: int = SEED, penalty: float = 1.0) -> Fitted:
