@@ -254,9 +254,8 @@ def jb7(spark, sf):
     training(spark, sf).write.parquet(f"{base}/training")
     data = readers.read_table(spark, f"{base}/training")
     frames = {"Frequency": frequency_frame(data), "Severity": severity_frame(data)}
-    # small models under the default names
-    for name, small in ((monitoring.DEFAULT_FREQUENCY_MODEL, "frequency_logit"), (monitoring.DEFAULT_SEVERITY_MODEL, "severity_linreg")):
-        spec = SPECS_BY_NAME[small]
+    for name in (monitoring.DEFAULT_FREQUENCY_MODEL, monitoring.DEFAULT_SEVERITY_MODEL):
+        spec = SPECS_BY_NAME[name]
         spec.fit(frames[spec.kind]).model.write().overwrite().save(f"{base}/models/{name}")
     learning.score_drivers(
         spark, f"{base}/training", f"{base}/none", f"{base}/scores", f"{base}/preview", f"{base}/manifests", f"{base}/models"

@@ -117,3 +117,21 @@ def test_queries_build_their_training_set_once(spark, monkeypatch, name):
     monkeypatch.setattr(catalog, "training", lambda *a: pytest.fail("a training set that is not written"))
     registry.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert built == [1]
+
+
+def test_the_default_pair_is_what_its_names_say(spark, small, monkeypatch):
+    from milemark.catalog import learning as catalog
+
+    found = {}
+    score = learning.score_drivers
+
+    def noted(*args):
+        for name in ("frequency_rf", "severity_xgb"):
+            found[name] = PipelineModel.load(f"{args[-1]}/{name}").stages[-1]
+        return score(*args)
+
+    monkeypatch.setattr(learning, "score_drivers", noted)
+    catalog.jb7(spark, small)
+    forest, boosted = found["frequency_rf"], found["severity_xgb"]
+    assert type(forest).__name__ == "RandomForestClassificationModel" and forest.getNumTrees == 200
+    assert type(boosted).__name__ == "GBTRegressionModel" and boosted.getNumTrees == 200
