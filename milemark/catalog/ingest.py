@@ -172,7 +172,16 @@ def jb1(spark, sf):
     good = readers.read_raw_events(spark, f"{base}/bronze").withColumn("_dlq_reason", F.lit(None).cast("string"))
     bad = readers.read_dead_letters(spark, f"{base}/dlq").drop("_original")
     both = good.withColumn("sink", F.lit("bronze")).unionByName(bad.withColumn("sink", F.lit("dlq")))
-    return both.groupBy("sink", "_dlq_reason").agg(F.count(F.lit(1)).alias("n"), F.sum("ts").alias("ts_sum"))
+    return _with_whole_sums(both.groupBy("sink", "_dlq_reason"), "ts", "ts_sum")
+
+
+def _with_whole_sums(groups, column: str, name: str):
+    """Count and exact sum of a bigint by group. Five million instants in milliseconds exceed a bigint: the sum is one where
+    all groups fit, as in the SQL, and a decimal where the SQL's cast fails."""
+    wide = F.sum(F.col(column).cast("decimal(28,0)"))
+    found = store(groups.agg(F.count(F.lit(1)).alias("n"), wide.alias(name)), "sums")
+    fits = F.coalesce(F.bool_and(F.col(name).between(-(1 << 63), (1 << 63) - 1)), F.lit(True))
+    return found.withColumn(name, F.col(name).cast("bigint")) if found.agg(fits).first()[0] else found
 
 
 @query(

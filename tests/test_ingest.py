@@ -134,3 +134,32 @@ def test_malformed_and_partial_bodies(spark):
     assert not got[0]["is_json"] and not got[4]["is_json"]
     assert got[2]["is_json"] and got[2]["lat"] == 1.0 and got[2]["_schema_ok"]
     assert got[3]["is_json"] and not got[3]["_schema_ok"]
+
+
+def request_tables(spark, n, at_ms):
+    """Requests of two drivers with devices, all at one event time and too far apart for the rate limit."""
+    path = scratch_path(spark, "requests")
+    spark.createDataFrame([(1,), (2,)], "c_custkey long").write.parquet(f"{path}/customer.parquet")
+    spark.range(n).select(
+        (F.col("id") * 1001).alias("event_id"), F.timestamp_millis(F.lit(at_ms)).alias("ts"), (F.col("id") % 2 + 1).alias("user_id")
+    ).write.parquet(f"{path}/events.parquet")
+    return path
+
+
+@pytest.mark.parametrize("at_ms, kind", [(8_000_000_000_000_000, "decimal(38,0)"), (1_700_000_000_000, "bigint")])
+def test_sums_of_a_batch_stay_whole_beyond_a_bigint(spark, at_ms, kind):
+    from milemark.catalog import ingest as catalog
+
+    found = catalog.jb1(spark, request_tables(spark, 12000, at_ms))
+    rows = found.collect()
+    assert dict(found.dtypes)["ts_sum"] == kind
+    assert max(r["n"] for r in rows) > 1200 and all(int(r["ts_sum"]) == r["n"] * at_ms for r in rows)
+
+
+def test_sums_of_nothing_and_of_nulls(spark):
+    from milemark.catalog.ingest import _with_whole_sums
+
+    rows = spark.createDataFrame([("a", None), ("b", 2**63 - 1), ("b", -1)], "k string, v long")
+    found = _with_whole_sums(rows.groupBy("k"), "v", "total")
+    assert {tuple(r) for r in found.collect()} == {("a", 1, None), ("b", 2, 2**63 - 2)} and found.schema["total"].dataType.simpleString() == "bigint"
+    assert _with_whole_sums(rows.where("false").groupBy("k"), "v", "total").count() == 0
