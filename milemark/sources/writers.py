@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milemark.functions.hashing import config_fingerprint
+from milemark.session import compiled_steps
 
 MAX_BRONZE_FILE_ROWS = 50_000
 MAX_LETTER_FILE_ROWS = 200_000
@@ -47,8 +48,10 @@ def write_gold(
 
 def append_dead_letters(letters: DataFrame, path: str, max_rows: int = MAX_LETTER_FILE_ROWS) -> None:
     """JSON lines: the event's known fields and ``_dlq_reason``. Names and values repeat in every line, so files are
-    compressed; one task reads a compressed file, hence its limit of rows."""
-    letters.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", max_rows).json(path)
+    compressed; one task reads a compressed file, hence its limit of rows. The reasons are a long chain of conditions over
+    all columns: in one method with the steps before, they would be interpreted."""
+    with compiled_steps(letters.sparkSession):
+        letters.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", max_rows).json(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -6,7 +6,7 @@ from milemark.operators import cleaning, validation
 from milemark.operators import monitoring as monitoring_ops
 from milemark.plans import learning, medallion, monitoring, quality
 from milemark.schemas import FEATURE_COLUMNS, MODEL_SUMMARY, SILVER_EVENTS, SILVER_TRIPS, conform
-from milemark.session import scratch_path, shared_folder
+from milemark.session import COMPILED_METHOD_LIMIT, scratch_path, shared_folder
 from milemark.sources import readers, writers
 
 
@@ -152,3 +152,30 @@ def test_deduplicated_events_are_not_sorted_again(make_events):
     once = medallion.clean(events, deduplicated=True)
     assert "Window" not in once._jdf.queryExecution().executedPlan().toString()
     assert once.collect() == medallion.clean(events).collect()
+
+
+@pytest.mark.parametrize("own", ["65535", "500"])
+def test_dead_letters_are_written_by_methods_that_are_compiled(spark, own):
+    """A stand-in for the letters notes the limit of the session while they are written; it is set back after a failure too."""
+    name, during = "spark.sql.codegen.hugeMethodLimit", []
+
+    class Letters:
+        sparkSession = spark
+        write = property(lambda self: self)
+        mode = option = lambda self, *given: self
+
+        def json(self, path):
+            during.append(int(spark.conf.get(name)))
+            if path == "broken":
+                raise OSError(path)
+
+    before = spark.conf.get(name)
+    spark.conf.set(name, own)
+    try:
+        writers.append_dead_letters(Letters(), "fine")
+        assert spark.conf.get(name) == own
+        with pytest.raises(OSError):
+            writers.append_dead_letters(Letters(), "broken")
+        assert spark.conf.get(name) == own and during == [min(int(own), COMPILED_METHOD_LIMIT)] * 2
+    finally:
+        spark.conf.set(name, before)
